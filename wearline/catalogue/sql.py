@@ -244,9 +244,10 @@ cut AS (
   FROM running WHERE p > 0 AND upto >= {q} - 1e-9
   QUALIFY row_number() OVER (PARTITION BY band, component, structure_kind, f ORDER BY t) = 1),
 outlook AS (
-  SELECT s.component, s.structure_kind, s.band, s.f AS r0, greatest(0, least(9, sum(s.p * s.t))) AS likely,
-    least(max(cut.q), greatest(0, least(9, sum(s.p * s.t)))) AS conservative,
-    sum(CASE WHEN s.t <= 5 THEN s.p ELSE 0 END) * 100 AS risk_pct
+  SELECT s.component, s.structure_kind, s.band, s.f AS r0,
+    round_even(greatest(0, least(9, sum(s.p * s.t))), 9) AS likely,
+    least(round_even(max(cut.q), 9), round_even(greatest(0, least(9, sum(s.p * s.t))), 9)) AS conservative,
+    round_even(sum(CASE WHEN s.t <= 5 THEN s.p ELSE 0 END) * 100, 9) AS risk_pct
   FROM spread s JOIN cut ON s.band = cut.band AND s.component = cut.component
     AND s.structure_kind = cut.structure_kind AND s.f = cut.f
   GROUP BY s.component, s.structure_kind, s.band, s.f)"""

@@ -12,16 +12,19 @@ from wearline.functions.numbers import clip
 def inspection_date(raw: Column) -> Column:
     """Parse packed ``MMDDYYYY`` digits, ISO or US dates and timestamps; failures become null.
 
-    All-digit text is always the packed form, so ``2024`` is null and never the year 2024.
+    All-digit text is always the packed form, so ``2024`` is null and never the year 2024. Every
+    form is rewritten as ISO and cast: a failed cast is a null, not an exception per row.
     """
-    text = F.trim(F.regexp_replace(raw.cast("string"), r"\.0$", ""))
-    packed = F.try_to_date(F.lpad(text, 8, "0"), "MMddyyyy")
-    written = F.coalesce(
-        F.try_to_date(text, "yyyy-MM-dd"),
-        F.try_to_date(text, "MM/dd/yyyy"),
-        F.try_to_timestamp(text).cast("date"),
+    shown = F.trim(raw.cast("string"))
+    text = F.when(shown.endswith(".0"), F.left(shown, F.length(shown) - 2)).otherwise(shown)
+    digits = F.lpad(text, 8, "0")
+    iso = (
+        F.when(text.rlike("^[0-9]{1,8}$"), F.regexp_replace(digits, r"^(..)(..)(....)$", "$3-$1-$2"))
+        .when(text.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"),
+              F.regexp_replace(text, r"^([0-9]+)/([0-9]+)/([0-9]{4})", "$3-$1-$2"))
+        .otherwise(text)
     )
-    return F.when(text.rlike("^[0-9]{1,8}$"), packed).otherwise(written)
+    return iso.try_cast("date")
 
 
 def day_number(date: Column) -> Column:

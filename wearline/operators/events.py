@@ -54,14 +54,13 @@ def latest_event(panel: DataFrame, cfg: PanelConfig) -> DataFrame:
 def by_component(df: DataFrame, cfg: PanelConfig, value: str = "rating") -> DataFrame:
     """Wide ratings to one row per component that exists on the asset.
 
-    ``explode`` of an array keeps the input partitioning, so the long form needs no new shuffle.
+    ``inline`` of an array keeps the input partitioning, so the long form needs no new shuffle.
     """
     present = [c for c in cfg.components if c in df.columns]
-    entries = F.array(*[F.struct(F.lit(c).alias("component"), F.col(c).alias(value))
-                        for c in present])
+    entries = ", ".join(f"struct('{c}' AS component, `{c}` AS {value})" for c in present)
     rest = [c for c in df.columns if c not in present]
-    long = df.select(*rest, F.explode(F.filter(entries, lambda e: e[value].isNotNull())).alias("_e"))
-    return long.select(*rest, "_e.component", f"_e.{value}")
+    return df.selectExpr(*[f"`{c}`" for c in rest], f"inline(array({entries}))").where(
+        F.col(value).isNotNull())
 
 
 def previous_ratings(events: DataFrame, cfg: PanelConfig) -> DataFrame:

@@ -43,17 +43,15 @@ def matrix_powers(table: DataFrame, by: Sequence[str], steps: Sequence[int]) ->
     steps. A rating never left in the data keeps its whole mass.
     """
     cells = table.groupBy(*by).agg(*[
-        F.coalesce(F.sum(F.when((F.col("from_rating") == i) & (F.col("to_rating") == j),
-                                F.col("p"))), F.lit(0.0)).alias(f"_p{i}_{j}")
-        for i in RATINGS for j in RATINGS])
+        F.expr(f"coalesce(sum(CASE WHEN from_rating = {i} AND to_rating = {j} THEN p END), 0D) "
+               f"AS _p{i}_{j}") for i in RATINGS for j in RATINGS])
 
     def row(i):
-        entries = [F.col(f"_p{i}_{j}") for j in RATINGS]
-        unseen = sum(entries[1:], entries[0]) == 0
-        return F.array(*[F.when(unseen, F.lit(1.0 if i == j else 0.0)).otherwise(e)
-                         for j, e in enumerate(entries)])
+        seen = " + ".join(f"_p{i}_{j}" for j in RATINGS) + " > 0"
+        stay = ", ".join(f"{float(i == j)}D" for j in RATINGS)
+        return f"if({seen}, array({', '.join(f'_p{i}_{j}' for j in RATINGS)}), array({stay}))"
 
-    base = cells.select(*by, F.array(*[row(i) for i in RATINGS]).alias("_m"))
+    base = cells.selectExpr(*by, f"array({', '.join(row(i) for i in RATINGS)}) AS _m")
 
     def times(state, matrix):
         # One distribution moved one step: weighted sum of the matrix rows.

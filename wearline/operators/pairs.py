@@ -1,9 +1,9 @@
 """Every inspection against every later inspection of the same asset.
 
 Two forms exist. ``forward_pairs`` emits the pairs themselves, for model training.
-``outcome_cells`` counts them without emitting them: cumulative rating counts per asset are read
-at the band edges, so the work is linear in the inspections however many an asset has. All
-band-level measures use the second form.
+``outcome_counts`` counts them without emitting them: running rating counts per asset are read at
+the band edges, so the work is linear in the inspections however many an asset has. All band-level
+measures use the second form.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.config import HorizonBands, PanelConfig
-from wearline.functions.dates import age_on, day_number, whole_days, years_between
+from wearline.functions.dates import age_on, whole_days, years_between
 from wearline.operators.events import by_component
 
 RATINGS = range(10)
@@ -82,35 +82,35 @@ def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None) -> Dat
     return whole.unionByName(edge).drop("_draw", "_slice", "_room")
 
 
-def outcome_cells(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
-                  keep: Sequence[str] = (), extra_edges: Sequence[float] = ()) -> DataFrame:
-    """Counts of later ratings per starting inspection, band and rating.
+def outcome_counts(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
+                   by: Sequence[str] = (), extra_edges: Sequence[float] = ()) -> DataFrame:
+    """How often a start rated r0 is later rated r1, per component, band and ``by``.
 
-    One row is (start, component, r0, band, span, r1, n): the start has ``n`` later inspections
-    of the same component rated ``r1`` at a horizon inside the span. Spans are the bands, cut
-    further at ``extra_edges``; ``span`` holds the span's upper edge in years.
+    One output row is (component, r0, by, band, span, r1, n). Spans are the bands, cut further at
+    ``extra_edges``; ``span`` holds the span's upper edge in years. Per start, the later ratings
+    up to each edge are running counts, and a span is the difference of two edges. The counts are
+    summed while still wide, so neither pairs nor starts are ever multiplied.
     """
     inner = [e for e in extra_edges if bands.edges[0] < e < bands.max_years]
     edges = sorted({*bands.edges, *inner})
-    long = by_component(events.repartition(cfg.asset_id), cfg).withColumn(
-        "_day", day_number(F.col(cfg.event_date)))
-    on_scale = F.col("rating").isin(*[float(r) for r in RATINGS])
-    rated = long.withColumn("r0", F.when(on_scale, F.col("rating").cast("int")).otherwise(
-        F.raise_error(F.concat(F.lit("rating outside the 0..9 scale: "), F.col("rating")))))
-    by_day = Window.partitionBy(cfg.asset_id, "component").orderBy("_day")
-    keys = [cfg.asset_id, "component", cfg.event_date, "r0", *keep]
-    counts = [
-        F.sum(F.when(F.col("r0") == r, 1).otherwise(0))
-        .over(by_day.rangeBetween(Window.unboundedPreceding, whole_days(edge))).alias(f"_c{i}_{r}")
-        for i, edge in enumerate(edges) for r in RATINGS
-    ]
-    counted = rated.select(*keys, *counts)
-    cells = []
-    for i, upper in enumerate(edges[1:], start=1):
-        label = next(name for top, name in zip(bands.edges[1:], bands.labels) if upper <= top)
-        for r in RATINGS:
-            cells.append(F.struct(
-                F.lit(label).alias("band"), F.lit(float(upper)).alias("span"),
-                F.lit(r).alias("r1"), (F.col(f"_c{i}_{r}") - F.col(f"_c{i - 1}_{r}")).alias("n")))
-    filled = F.filter(F.array(*cells), lambda c: c["n"] > 0)
-    return counted.select(*keys, F.explode(filled).alias("_cell")).select(*keys, "_cell.*")
+    narrow = events.select(*dict.fromkeys(
+        [cfg.asset_id, cfg.event_date, *[c for c in cfg.components if c in events.columns], *by]))
+    rated = by_component(narrow.repartition(cfg.asset_id), cfg).selectExpr(
+        cfg.asset_id, "component", *by, f"unix_date({cfg.event_date}) AS _day",
+        "CASE WHEN rating IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9) THEN int(rating) "
+        "ELSE raise_error('rating outside the 0..9 scale: ' || rating) END AS r0")
+    counted = rated.selectExpr("component", "r0", *by, *[
+        f"count_if(r0 = {r}) OVER (PARTITION BY {cfg.asset_id}, component ORDER BY _day "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {whole_days(edge)} FOLLOWING) AS _c{i}_{r}"
+        for i, edge in enumerate(edges) for r in RATINGS])
+    spans = range(1, len(edges))
+    summed = counted.groupBy("component", "r0", *by).agg(*[
+        F.expr(f"sum(_c{i}_{r} - _c{i - 1}_{r}) AS _n{i}_{r}") for i in spans for r in RATINGS])
+
+    def label(upper):
+        return next(name for top, name in zip(bands.edges[1:], bands.labels) if upper <= top)
+
+    cells = ", ".join(
+        f"struct('{label(edges[i])}' AS band, {float(edges[i])}D AS span, {r} AS r1, _n{i}_{r} AS n)"
+        for i in spans for r in RATINGS)
+    return summed.selectExpr("component", "r0", *by, f"inline(array({cells}))").where("n > 0")

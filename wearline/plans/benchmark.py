@@ -17,7 +17,7 @@ from wearline.functions.numbers import clip, half_even, lesser
 from wearline.functions.ratings import mass_at_or_below, mean_of, quantile_of
 from wearline.operators.markov import matrix_powers, transition_counts, transition_table
 from wearline.operators.metrics import by_method, group_mean, score
-from wearline.operators.pairs import outcome_cells
+from wearline.operators.pairs import outcome_counts
 from wearline.operators.split import is_test_asset
 
 
@@ -28,17 +28,17 @@ def outcome_table(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
     A band is cut at every half year for the age bin: all horizons of such a span round to the
     same number of years.
     """
-    cuts = [y + 0.5 for y in range(int(bands.max_years) + 1)] if ages else []
-    cells = outcome_cells(events, cfg, bands, keep=[*by, cfg.year_built] if ages else by,
-                          extra_edges=cuts)
-    keys = ["component", "band", "r0", "r1", *by]
-    cells = cells.withColumn("is_test", is_test_asset(cfg))
-    if ages:
-        later = F.ceil(F.col("span") - 0.5)
-        cells = cells.withColumn("age_bin", half_even(
-            age_on(F.col(cfg.event_date), F.col(cfg.year_built)) + later).cast("int"))
-        keys.append("age_bin")
-    return cells.groupBy(*keys, "is_test").agg(F.sum("n").alias("n"))
+    starts = events.withColumn("is_test", is_test_asset(cfg))
+    if not ages:
+        counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test"])
+        return counts.drop("span")
+    starts = starts.withColumn("_age", age_on(F.col(cfg.event_date), F.col(cfg.year_built)))
+    cuts = [y + 0.5 for y in range(int(bands.max_years) + 1)]
+    counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test", "_age"], extra_edges=cuts)
+    later = F.ceil(F.col("span") - 0.5)
+    keys = ["component", "band", "r0", "r1", *by, "is_test", "age_bin"]
+    return counts.withColumn("age_bin", half_even(F.col("_age") + later).cast("int")).groupBy(
+        *keys).agg(F.sum("n").alias("n"))
 
 
 def age_curve(value: str = "r1", weight: str = "n") -> Column:
@@ -59,8 +59,7 @@ def baselines_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands)
 
 def carry_forward_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands) -> DataFrame:
     """The error of assuming no change, over all assets."""
-    cells = outcome_cells(events, cfg, bands)
-    counts = cells.groupBy("component", "band", "r0", "r1").agg(F.sum("n").alias("n"))
+    counts = outcome_counts(events, cfg, bands)
     return score(counts, ["component", "band"], predicted="r0", weight="n")
 
 
@@ -79,11 +78,14 @@ def markov_outlook(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
     wanted = F.filter(bands, lambda e: e["k"] == F.col("k"))
     spread = powers.select(*keys, F.col("from_rating").alias("r0"), "p",
                            F.explode(wanted).alias("_b"))
-    likely = clip(mean_of(F.col("p")), 0.0, 9.0)
-    return spread.select(
-        *keys, "_b.band", "r0", likely.alias("likely"),
-        lesser(quantile_of(F.col("p"), cfg.quantile), likely).alias("conservative"),
-        (mass_at_or_below(F.col("p"), cfg.risk_threshold) * 100).alias("risk_pct"))
+    # Nine places drop the noise of summing probabilities, so that comparisons at whole ratings
+    # do not depend on the order of summation.
+    likely = half_even(clip(mean_of(F.col("p")), 0.0, 9.0), 9)
+    valued = spread.select(
+        *keys, "_b.band", "r0", "p", likely.alias("likely"),
+        half_even(mass_at_or_below(F.col("p"), cfg.risk_threshold) * 100, 9).alias("risk_pct"))
+    low = half_even(quantile_of(F.col("p"), cfg.quantile), 9)
+    return valued.withColumn("conservative", lesser(low, F.col("likely"))).drop("p")
 
 
 def benchmark(events: DataFrame, cfg: PanelConfig, bands: HorizonBands, by: Sequence[str],

@@ -25,8 +25,23 @@ RAW_COLUMNS = (
 )
 
 
+# The columns of the sample tables that the binding reads; declaring them spares a job per scan.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(column: Column) -> Column:
@@ -37,55 +52,51 @@ def asset_code(key: Column) -> Column:
     return F.lpad(text(key), 9, "0")
 
 
-def packed(degrees: Column, key: Column) -> tuple[Column, Column]:
-    """DDMMSSss and DDMMSS text for whole degrees and minutes and seconds drawn from the key."""
-    minutes, seconds = key % 60, (key * 7) % 60
-    long_form = degrees * 1_000_000 + minutes * 10_000 + seconds * 100 + key % 100
-    return text(long_form), text(degrees * 10_000 + minutes * 100 + seconds)
+def packed(degrees: str) -> tuple[str, str]:
+    """DDMMSSss and DDMMSS for whole degrees, with minutes and seconds drawn from the key."""
+    return (f"string(({degrees}) * 1000000 + (k % 60) * 10000 + ((k * 7) % 60) * 100 + k % 100)",
+            f"string(({degrees}) * 10000 + (k % 60) * 100 + (k * 7) % 60)")
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    n, k, nation = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
-    code = asset_code(k)
-    form = n % 6
-    north, west = 26 + k % 10, 94 + k % 12
-    quarter = F.lpad(text((k % 4) * 25), 2, "0")
-    lat_long, lat_short = packed(north, k)
-    lon_long, lon_short = packed(west, k)
-    nothing = F.lit(None).cast("string")
-    return rows.select(
-        F.when(n % 13 == 0, F.concat(F.lit(" "), code, F.lit(" "))).otherwise(code).alias("asset_id"),
-        text(F.date_format("o_orderdate", "MMddyyyy").cast("bigint")).alias("raw_date"),
-        n.alias("snapshot_no"),
-        F.when(n % 17 == 0, "N").otherwise(
-            text(F.least(F.lit(9), F.floor(F.col("o_totalprice") / 55000)).cast("bigint"))).alias("deck"),
-        text((n * 7 + nation) % 10).alias("superstructure"),
-        text((n * 3 + k) % 10).alias("substructure"),
-        F.when(k % 7 == 0, text(4 + n % 5)).otherwise("N").alias("culvert"),
-        F.when(n % 2 == 0, F.lpad(text(nation), 2, "0")).otherwise(text(nation)).alias("region"),
-        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE") & (n % 97 != 0), "ON")
-        .otherwise("OFF").alias("on_system"),
-        text(F.when(k % 41 == 0, 110).when(k % 43 == 0, 9650).otherwise(1900 + k % 95)).alias("year_built"),
-        text(F.when(k % 5 == 0, 1990 + k % 10).otherwise(0)).alias("year_reconstructed"),
-        F.when(n % 29 == 0, "junk").otherwise(
-            text(F.floor(F.col("o_totalprice") / 100).cast("bigint"))).alias("adt"),
-        text((k % 50) * 10).alias("structure_length"),
-        text(20 + nation).alias("deck_width"),
-        text(k % 110).alias("skew_angle"),
-        F.when(form == 0, F.concat(text(north), F.lit("."), quarter)).when(form == 1, lat_long)
-        .when(form == 2, lat_short).when(form == 3, "0").when(form == 4, "12345678")
-        .otherwise(nothing).alias("latitude"),
-        F.when(form == 0, F.concat(F.lit("-"), text(west), F.lit("."), quarter)).when(form == 1, lon_long)
-        .when(form == 2, lon_short).when(form == 3, "0").when(form == 4, "999")
-        .otherwise(nothing).alias("longitude"),
-        F.when(n % 2 == 1, text(100 + n % 150)).otherwise(
-            F.concat(text(n % 3), F.lit("."), F.lpad(text(n % 100), 2, "0"))).alias("inventory_load"),
-        F.when(n % 2 == 0, text(120 + n % 150)).otherwise(
-            F.concat(text(n % 4), F.lit("."), F.lpad(text(n % 100), 2, "0"))).alias("operating_load"),
-        F.col("c_mktsegment").alias("owner"),
-        F.col("o_orderpriority").alias("functional_class"),
+    """Orders joined to their customer, written as a raw export: every column but one is text."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS n", "o_custkey AS k", "o_totalprice AS price", "o_orderdate AS day",
+        "o_orderpriority AS functional_class")
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k", "c_nationkey AS nation", "c_mktsegment AS owner")
+    code = "lpad(string(k), 9, '0')"
+    north, west = "26 + k % 10", "94 + k % 12"
+    quarter = "'.' || lpad(string((k % 4) * 25), 2, '0')"
+    (lat_long, lat_short), (lon_long, lon_short) = packed(north), packed(west)
+    hundredth = "'.' || lpad(string(n % 100), 2, '0')"
+    return orders.join(customer, "k").selectExpr(
+        f"CASE WHEN n % 13 = 0 THEN ' ' || {code} || ' ' ELSE {code} END AS asset_id",
+        "string(bigint(date_format(day, 'MMddyyyy'))) AS raw_date",
+        "n AS snapshot_no",
+        "CASE WHEN n % 17 = 0 THEN 'N' ELSE string(bigint(least(9, floor(price / 55000)))) END AS deck",
+        "string((n * 7 + nation) % 10) AS superstructure",
+        "string((n * 3 + k) % 10) AS substructure",
+        "CASE WHEN k % 7 = 0 THEN string(4 + n % 5) ELSE 'N' END AS culvert",
+        "CASE WHEN n % 2 = 0 THEN lpad(string(nation), 2, '0') ELSE string(nation) END AS region",
+        "CASE WHEN owner IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') AND n % 97 <> 0 THEN 'ON' "
+        "ELSE 'OFF' END AS on_system",
+        "string(CASE WHEN k % 41 = 0 THEN 110 WHEN k % 43 = 0 THEN 9650 ELSE 1900 + k % 95 END) "
+        "AS year_built",
+        "string(CASE WHEN k % 5 = 0 THEN 1990 + k % 10 ELSE 0 END) AS year_reconstructed",
+        "CASE WHEN n % 29 = 0 THEN 'junk' ELSE string(bigint(floor(price / 100))) END AS adt",
+        "string((k % 50) * 10) AS structure_length",
+        "string(20 + nation) AS deck_width",
+        "string(k % 110) AS skew_angle",
+        f"CASE n % 6 WHEN 0 THEN string({north}) || {quarter} WHEN 1 THEN {lat_long} "
+        f"WHEN 2 THEN {lat_short} WHEN 3 THEN '0' WHEN 4 THEN '12345678' END AS latitude",
+        f"CASE n % 6 WHEN 0 THEN '-' || string({west}) || {quarter} WHEN 1 THEN {lon_long} "
+        f"WHEN 2 THEN {lon_short} WHEN 3 THEN '0' WHEN 4 THEN '999' END AS longitude",
+        f"CASE WHEN n % 2 = 1 THEN string(100 + n % 150) ELSE string(n % 3) || {hundredth} END "
+        "AS inventory_load",
+        f"CASE WHEN n % 2 = 0 THEN string(120 + n % 150) ELSE string(n % 4) || {hundredth} END "
+        "AS operating_load",
+        "owner", "functional_class",
     )
 
 
