@@ -19,9 +19,10 @@ def inspection_date(raw: Column) -> Column:
     text = F.when(shown.endswith(".0"), F.left(shown, F.length(shown) - 2)).otherwise(shown)
     digits = F.lpad(text, 8, "0")
     iso = (
-        F.when(text.rlike("^[0-9]{1,8}$"), F.regexp_replace(digits, r"^(..)(..)(....)$", "$3-$1-$2"))
-        .when(text.rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"),
-              F.regexp_replace(text, r"^([0-9]+)/([0-9]+)/([0-9]{4})", "$3-$1-$2"))
+        F.when(text.rlike("^[0-9]{1,8}$"), F.concat_ws(
+            "-", F.substring(digits, 5, 4), F.substring(digits, 1, 2), F.substring(digits, 3, 2)))
+        .when(F.contains(text, F.lit("/")),
+              F.regexp_replace(text, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})", "$3-$1-$2"))
         .otherwise(text)
     )
     return iso.try_cast("date")

@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def to_number(raw: Column) -> Column:
-    """Text to double; anything unreadable, and NaN, is null."""
-    return F.nanvl(F.trim(raw.cast("string")).try_cast("double"), F.lit(None).cast("double"))
+    """Text to double; anything unreadable, and NaN, is null.
+
+    Words are told apart by their first character: parsing one costs an exception per row, and a
+    rating column is full of the letter that marks an absent component.
+    """
+    text = F.trim(raw.cast("string"))
+    return F.when(F.left(text, F.lit(1)).isin(*"0123456789.+-"), F.nanvl(
+        text.try_cast("double"), F.lit(None).cast("double")))
 
 
 def clip(value: Column, low: float, high: float) -> Column:

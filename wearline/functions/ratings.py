@@ -46,7 +46,8 @@ def at_horizon(values: Column, years: Column,
                anchors: Sequence[int] = ANCHOR_HORIZONS) -> Column:
     """Read a map anchor -> value at any horizon by a straight line between its neighbours.
 
-    A missing neighbour yields the other one. Off the grid the first and last anchors bracket.
+    A missing neighbour yields the other one; an anchor's own value is never replaced. Beyond the
+    grid the first and last anchors bracket.
     """
     exact = F.try_element_at(values, years.cast("int"))
     low, high = F.lit(anchors[0]), F.lit(anchors[-1])
@@ -56,8 +57,7 @@ def at_horizon(values: Column, years: Column,
         high = F.when(inside, right).otherwise(high)
     below, above = F.try_element_at(values, low), F.try_element_at(values, high)
     line = below + (above - below) * (years - low) / (high - low)
-    on_grid = years == years.cast("int")
-    return F.coalesce(F.when(on_grid, exact), line, below, above)
+    return F.when(years.isin(*anchors), exact).otherwise(F.coalesce(line, below, above))
 
 
 def quantile_of(probabilities: Column, q: float) -> Column:

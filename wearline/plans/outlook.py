@@ -171,8 +171,10 @@ def asset_payload(grid: DataFrame, cfg: PanelConfig, values: Sequence[str] = ())
     grouped = [cfg.asset_id, cfg.event_date, "age_t0", *keep, *values]
     maps = horizon_maps(grid, [*grouped, "component", "r0"])
     forecast = F.struct(F.col("r0").alias("current"), "likely", "conservative", "risk_pct")
-    nested = maps.groupBy(*grouped).agg(F.map_from_entries(F.sort_array(F.collect_list(
-        F.struct("component", forecast)))).alias("targets"))
+    by_name = [x for c in cfg.components for x in (
+        F.lit(c), F.first(F.when(F.col("component") == c, forecast), ignorenulls=True))]
+    nested = maps.groupBy(*grouped).agg(F.map_filter(
+        F.create_map(*by_name), lambda name, value: value.isNotNull()).alias("targets"))
     vals = [F.array(*[F.col(v).cast("string") for v in values]).alias("vals")] if values else []
     return nested.select(
         F.col(cfg.asset_id).alias("id"), *keep,
