@@ -76,14 +76,19 @@ def value_ranges(df: DataFrame, ranges: Mapping[str, tuple[float, float]] | None
     return table
 
 
-def decode_loss(raw: DataFrame, columns: Sequence[str] = tuple(COORDINATE_BOX)) -> DataFrame:
+def decode_loss(raw: DataFrame,
+                columns: Sequence[str] = tuple(COORDINATE_BOX)) -> DataFrame | None:
     """Per coordinate and digit width: how many values decode to an impossible place, and how
-    many are recorded as zero. A width that dominates is a form the decoder does not know."""
+    many are recorded as zero. A width that dominates is a form the decoder does not know.
+    A source without coordinates has nothing to lose."""
+    columns = [c for c in columns if c in raw.columns]
+    if not columns:
+        return None
     entries = F.array(*[
         F.struct(F.lit(c).alias("column"), to_number(F.col(c)).alias("raw"),
                  decode_degrees(to_number(F.col(c)), west=c == "longitude").alias("degrees"),
                  F.lit(COORDINATE_BOX[c][0]).alias("low"), F.lit(COORDINATE_BOX[c][1]).alias("high"))
-        for c in columns if c in raw.columns])
+        for c in columns])
     values = raw.select(F.inline(entries)).where(F.col("raw").isNotNull())
     lost = F.col("degrees").isNotNull() & ~F.col("degrees").between(F.col("low"), F.col("high"))
     zero = F.col("raw") == 0

@@ -91,7 +91,7 @@ def publish_regions(grid: DataFrame, cfg: PanelConfig, root: str, scope: str = "
     return {"packs": packs, "index": index}
 
 
-def verify_source(raw: DataFrame, cfg: PanelConfig) -> dict[str, DataFrame | list[str]]:
+def verify_source(raw: DataFrame, cfg: PanelConfig) -> dict[str, DataFrame | list[str] | None]:
     """The four source gates. Units are judged after decoding, losses before it."""
     panel = clean_panel(raw, cfg)
     return {
