@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wearline.catalogue.panel_queries import event_rows, panel, places, static_rows
+from wearline.catalogue.panel_queries import panel, places, stored_events
 from wearline.catalogue.sql import COMPONENTS, band, clip, is_test, measures, outlook, sql
 from wearline.functions.dates import age_on
 from wearline.functions.numbers import half_even
 from wearline.operators import events, pairs
-from wearline.operators.enrich import attach_static
 from wearline.operators.markov import matrix_powers, transition_counts, transition_table
 from wearline.operators.metrics import best_gain as gain
 from wearline.operators.metrics import by_method, group_mean, score
@@ -28,12 +27,11 @@ KIND = "structure_kind"
 
 def stratified_events(spark, sf_dir):
     """Events with the attribute the transitions are stratified by; assets without one drop out."""
-    rows = attach_static(event_rows(spark, sf_dir), static_rows(spark, sf_dir), CFG)
-    return rows.where(F.col(KIND).isNotNull())
+    return stored_events(spark, sf_dir).where(F.col(KIND).isNotNull())
 
 
 def carry_forward_by_horizon(spark, sf_dir):
-    return places(plan.carry_forward_by_band(event_rows(spark, sf_dir), CFG, BANDS), *MEASURES)
+    return places(plan.carry_forward_by_band(stored_events(spark, sf_dir), CFG, BANDS), *MEASURES)
 
 
 CARRY_SQL = sql(f"SELECT component, {band()} AS band, {measures()} "
@@ -41,7 +39,7 @@ CARRY_SQL = sql(f"SELECT component, {band()} AS band, {measures()} "
 
 
 def baseline_by_horizon(spark, sf_dir):
-    return places(plan.baselines_by_band(event_rows(spark, sf_dir), CFG, BANDS), *MEASURES)
+    return places(plan.baselines_by_band(stored_events(spark, sf_dir), CFG, BANDS), *MEASURES)
 
 
 AGE_CTE = f"""aged AS (
@@ -61,7 +59,7 @@ BASELINE_SQL = sql(f"""SELECT component, band, method, {measures()} FROM (
 
 
 def persistence_baseline(spark, sf_dir):
-    rows = events.previous_ratings(event_rows(spark, sf_dir), CFG)
+    rows = events.previous_ratings(stored_events(spark, sf_dir), CFG)
     return places(score(rows, ["component"], actual="rating", predicted="previous_rating"), *MEASURES)
 
 
@@ -72,7 +70,7 @@ PERSIST_SQL = sql(f"""SELECT component, {measures('rating')} FROM (
 
 def age_curve_baseline(spark, sf_dir):
     """Rating from age alone, judged on held-out assets; fitted on counts per age and rating."""
-    rows = events.by_component(event_rows(spark, sf_dir), CFG)
+    rows = events.by_component(stored_events(spark, sf_dir), CFG)
     rows = rows.withColumns({
         "age_bin": half_even(age_on(F.col("event_date"), F.col("year_built"))).cast("int"),
         "is_test": is_test_asset(CFG)}).where(F.col("age_bin").isNotNull())
@@ -96,7 +94,7 @@ AGE_CURVE_SQL = sql(f"""SELECT component, {measures('rating')} FROM (
 
 def metric_suite(spark, sf_dir):
     """All error measures of two rule predictors, and their average by predictor."""
-    rows = events.previous_ratings(event_rows(spark, sf_dir), CFG)
+    rows = events.previous_ratings(stored_events(spark, sf_dir), CFG)
     scored = by_method(rows, {"persistence": F.col("previous_rating"),
                               "half_step": F.col("previous_rating") * 1.5 - 2})
     table = score(scored, ["component", "method"], actual="rating", predicted="predicted",
@@ -269,7 +267,7 @@ GROUP BY component""", "markov", extra=JUDGED_CTE)
 
 def backtest_sample(spark, sf_dir):
     """Held-out pairs, a repeatable two in a hundred, with the no-change forecast."""
-    rows = pairs.forward_pairs(event_rows(spark, sf_dir), CFG)
+    rows = pairs.forward_pairs(stored_events(spark, sf_dir), CFG)
     return plan.backtest_sample(rows, CFG, F.col("r0"))
 
 

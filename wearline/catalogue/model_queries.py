@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from functools import lru_cache
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from wearline.catalogue.outlook_queries import SCREEN, attach, start_rows
-from wearline.catalogue.panel_queries import panel, static_rows
+from wearline.catalogue.outlook_queries import SCREEN, start_rows
+from wearline.catalogue.panel_queries import panel, static_rows, stored_events
 from wearline.config import PanelConfig, TreeParams
 from wearline.functions.numbers import half_even
 from wearline.operators.features import engineer
@@ -19,42 +17,32 @@ from wearline.plans import jobs
 from wearline.plans import models as ml
 from wearline.plans import outlook as plan
 from wearline.plans.benchmark import ranking_quality
-from wearline.session import settle
+from wearline.session import once, settle
 from wearline.sources import order_panel as src
 
 CFG = replace(src.CFG, pair_cap=PanelConfig().pair_cap)
 PARAMS = TreeParams(rounds=5, depth=4, forest_trees=10)
 
 
-@lru_cache(maxsize=4)
-def _trained(app: str, sf_dir: str):
+def trained(spark, sf_dir):
     """Pairs, bundles and scored held-out pairs, shared by the queries of one session."""
-    spark = SparkSession.getActiveSession()
-    pairs = ml.settled_pairs(
-        jobs.training_pairs(panel(spark, sf_dir), static_rows(spark, sf_dir), CFG), CFG)
-    models = ml.fit_all_trajectories(pairs, CFG, PARAMS)
-    held_out = pairs.where(is_test_asset(CFG))
-    scored = settle(ml.predict_by_component(models, held_out, CFG), "scored")
-    return pairs, models, scored
-
+    def build():
+        pairs = ml.settled_pairs(jobs.pairs_with_inputs(stored_events(spark, sf_dir), CFG), CFG)
+        models = ml.fit_all_trajectories(pairs, CFG, PARAMS)
+        held_out = pairs.where(is_test_asset(CFG))
+        return pairs, models, settle(ml.predict_by_component(models, held_out, CFG), "scored")
 
-def trained(spark, sf_dir):
-    return _trained(spark.sparkContext.applicationId, sf_dir)
+    return once(spark, "trajectories", sf_dir, build)
 
 
 def features(spark, sf_dir):
     return attach_static(engineer(panel(spark, sf_dir), CFG), static_rows(spark, sf_dir), CFG)
 
 
-@lru_cache(maxsize=4)
-def _fitted(app: str, sf_dir: str):
-    """Attribute models of both types, shared by the queries of one session."""
-    spark = SparkSession.getActiveSession()
-    return ml.fit_all_attributes(settle(features(spark, sf_dir), "features"), CFG, PARAMS)
-
-
 def fitted(spark, sf_dir):
-    return _fitted(spark.sparkContext.applicationId, sf_dir)
+    """Attribute models of both types, shared by the queries of one session."""
+    return once(spark, "attributes", sf_dir, lambda: ml.fit_all_attributes(
+        settle(features(spark, sf_dir), "features"), CFG, PARAMS))
 
 
 def model_point_by_horizon(spark, sf_dir):
@@ -82,8 +70,8 @@ def model_quantile(spark, sf_dir):
 
 def model_watchlist(spark, sf_dir):
     models = trained(spark, sf_dir)[1]
-    return plan.watchlist(panel(spark, sf_dir), ml.trajectory_scorer(models, CFG), CFG, "deck",
-                          SCREEN, attach=attach(spark, sf_dir))
+    return plan.watchlist(stored_events(spark, sf_dir), ml.trajectory_scorer(models, CFG), CFG, "deck",
+                          SCREEN)
 
 
 def model_grid(spark, sf_dir):
@@ -112,7 +100,7 @@ def combined_forecast(spark, sf_dir):
     _, bundles, _ = trained(spark, sf_dir)
     models, _ = fitted(spark, sf_dir)
     primary = plan.point_forecast(start_rows(spark, sf_dir), ml.trajectory_scorer(bundles, CFG), CFG, 2010)
-    latest = jobs.latest_features(panel(spark, sf_dir), static_rows(spark, sf_dir), CFG)
+    latest = jobs.latest_features(stored_events(spark, sf_dir), None, CFG)
     fallback = ml.attribute_forecast(models, latest, CFG, 2010)
     return plan.combine_forecasts(primary, fallback, ["asset_id", "component"])
 

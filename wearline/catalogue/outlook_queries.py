@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearline.catalogue.benchmark_queries import KIND, stratified_events
-from wearline.catalogue.panel_queries import COVERED, panel, places, static_rows
+from wearline.catalogue.panel_queries import COVERED, places, stored_events
 from wearline.catalogue.sql import outlook, sql
 from wearline.config import Screen
-from wearline.operators.enrich import attach_static, with_coverage
+from wearline.operators.enrich import with_coverage
 from wearline.plans import outlook as plan
 from wearline.plans.benchmark import markov_outlook
 from wearline.sources import order_panel as src
@@ -25,14 +25,8 @@ def rule_scorer(spark, sf_dir, steps=None):
     return plan.rule_scorer(table, CFG, [KIND], F.col("horizon").cast("int").cast("string"))
 
 
-def attach(spark, sf_dir):
-    static = static_rows(spark, sf_dir)
-    return lambda rows: attach_static(rows, static, CFG)
-
-
 def start_rows(spark, sf_dir):
-    rows = attach(spark, sf_dir)(plan.starting_points(panel(spark, sf_dir), CFG))
-    return with_coverage(rows, COVERED)
+    return with_coverage(plan.starting_points(stored_events(spark, sf_dir), CFG), COVERED)
 
 
 def grid(spark, sf_dir):
@@ -41,16 +35,16 @@ def grid(spark, sf_dir):
 
 def watchlist_rule(spark, sf_dir):
     """Deck watch-list of on-system assets; conservative is the Markov quantile."""
-    return plan.watchlist(panel(spark, sf_dir), rule_scorer(spark, sf_dir, {"10": 2}), CFG, "deck",
-                          SCREEN, attach=attach(spark, sf_dir))
+    return plan.watchlist(stored_events(spark, sf_dir), rule_scorer(spark, sf_dir, {"10": 2}), CFG,
+                          "deck", SCREEN)
 
 
 def watchlist_region(spark, sf_dir):
     """The same list for one region and all systems, the worst 25."""
     screen = Screen(horizon_years=10, current_min=4, current_max=8, poor_threshold=5.0,
                     on_system_only=False)
-    listed = plan.watchlist(panel(spark, sf_dir), rule_scorer(spark, sf_dir, {"10": 2}), CFG,
-                            "superstructure", screen, region="3", attach=attach(spark, sf_dir))
+    listed = plan.watchlist(stored_events(spark, sf_dir), rule_scorer(spark, sf_dir, {"10": 2}), CFG,
+                            "superstructure", screen, region="3")
     return listed.limit(25)
 
 
@@ -99,12 +93,10 @@ GRID_SQL = sql("SELECT asset_id, component, r0, horizon, likely, conservative, r
 def horizon_grid_interp(spark, sf_dir):
     """Forecasts between and on the anchors, with route, band and flags."""
     maps = plan.horizon_maps(grid(spark, sf_dir), ["asset_id", "component", "r0"])
-    read = [plan.read_maps(maps, CFG, F.lit(y)).select(
+    years = F.explode(F.array(*[F.lit(float(y)) for y in (0, 3, 7, 10, 18)]))
+    out = plan.read_maps(maps.withColumn("asked", years), CFG, F.col("asked")).select(
         "asset_id", "component", "years", "likely_at", "conservative_at", "risk_at", "route",
-        "band_at", "decline_flag", "risk_flag") for y in (0, 3, 7, 10, 18)]
-    out = read[0]
-    for part in read[1:]:
-        out = out.unionByName(part)
+        "band_at", "decline_flag", "risk_flag")
     return places(out, "likely_at", "conservative_at", "risk_at")
 
 

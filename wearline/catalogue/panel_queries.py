@@ -11,7 +11,7 @@ from wearline.functions.dates import inspection_date
 from wearline.functions.numbers import half_even
 from wearline.operators import clean, eav, enrich, events, features, pairs, quality, split
 from wearline.operators.metrics import grouped_summary
-from wearline.session import work_path
+from wearline.session import once, settle, work_path
 from wearline.sources import order_panel as src
 from wearline.sources import readers, writers
 
@@ -32,8 +32,14 @@ def static_rows(spark, sf_dir) -> DataFrame:
     return enrich.static_attributes(src.extract_rows(spark, sf_dir), CFG, "as_id", src.EXTRACT_ORDER)
 
 
+def stored_events(spark, sf_dir) -> DataFrame:
+    """Events with their attributes, written once: most later queries read them more than once."""
+    return once(spark, "events", sf_dir, lambda: settle(enrich.attach_static(
+        event_rows(spark, sf_dir), static_rows(spark, sf_dir), CFG), "events"))
+
+
 def day(name: str):
-    return F.date_format(name, "yyyy-MM-dd")
+    return F.col(name).cast("string")
 
 
 def places(df: DataFrame, *names: str, to: int = 6) -> DataFrame:
@@ -65,7 +71,7 @@ DECODE_SQL = sql("""SELECT snapshot_no, round_even(latitude, 6) AS latitude,
 def parse_mixed_dates(spark, sf_dir):
     parsed = inspection_date(F.col("raw_date"))
     return src.mixed_dates(spark, sf_dir).select(
-        "snapshot_no", "raw_date", F.date_format(parsed, "yyyy-MM-dd").alias("event_date"),
+        "snapshot_no", "raw_date", parsed.cast("string").alias("event_date"),
         F.year(parsed).cast("double").alias("event_year"))
 
 
@@ -124,7 +130,7 @@ FROM latest WHERE region = '7' AND on_system = 'ON'""", "events")
 
 
 def forward_pairs(spark, sf_dir):
-    rows = pairs.forward_pairs(event_rows(spark, sf_dir), CFG)
+    rows = pairs.forward_pairs(stored_events(spark, sf_dir), CFG)
     return places(rows.select("asset_id", "component", day("d0").alias("d0"), day("d1").alias("d1"),
                               "horizon", "r0", "r1", "age_t0"), "horizon")
 
@@ -134,7 +140,7 @@ PAIR_COLUMNS = """asset_id, component, strftime(d0, '%Y-%m-%d') AS d0, strftime(
 
 
 def pairs_capped(spark, sf_dir):
-    rows = pairs.cap_pairs(pairs.forward_pairs(event_rows(spark, sf_dir), CFG), CFG)
+    rows = pairs.cap_pairs(pairs.forward_pairs(stored_events(spark, sf_dir), CFG), CFG)
     return rows.select("asset_id", "component", day("d0").alias("d0"), day("d1").alias("d1"), "r0", "r1")
 
 

@@ -55,31 +55,25 @@ def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None) -> Dat
     """A repeatable sample of exactly ``cap`` pairs per component, without a global sort.
 
     Pairs are ordered by an md5 of their key. The first four hex digits cut them into 65,536
-    even slices; counting those finds the slice in which the cap falls, and only that slice is
-    ranked. Components at or below the cap are kept whole.
+    even slices; counting those finds the slice in which the cap falls. Later slices are dropped
+    before anything is ranked, so the ranking sees at most the cap and one slice, spread evenly.
+    Components at or below the cap are kept whole.
     """
     cap = cfg.pair_cap if cap is None else cap
-    key = F.concat_ws("|", F.col(cfg.asset_id), F.col("component"),
-                      F.date_format("d0", "yyyy-MM-dd"), F.date_format("d1", "yyyy-MM-dd"),
-                      F.lit(str(cfg.seed)))
+    key = F.concat_ws("|", cfg.asset_id, "component", F.col("d0").cast("string"),
+                      F.col("d1").cast("string"), F.lit(str(cfg.seed)))
     drawn = pairs.withColumn("_draw", F.md5(key)).withColumn("_slice", F.substring("_draw", 1, 4))
     running = Window.partitionBy("component").orderBy("_slice")
     slices = (
         drawn.groupBy("component", "_slice").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", F.sum("_n").over(running))
         .where(F.col("_upto") - F.col("_n") < cap)
-        .select("component", "_slice",
-                F.when(F.col("_upto") > cap, cap - (F.col("_upto") - F.col("_n"))).alias("_room"))
+        .select("component", "_slice", (cap - (F.col("_upto") - F.col("_n"))).alias("_room"))
     )
-    kept = drawn.join(slices, ["component", "_slice"])
-    whole = kept.where(F.col("_room").isNull())
     ranking = Window.partitionBy("component", "_slice").orderBy("_draw")
-    edge = (
-        kept.where(F.col("_room").isNotNull())
-        .withColumn("_rank", F.row_number().over(ranking))
-        .where(F.col("_rank") <= F.col("_room")).drop("_rank")
-    )
-    return whole.unionByName(edge).drop("_draw", "_slice", "_room")
+    kept = drawn.join(slices, ["component", "_slice"]).withColumn(
+        "_rank", F.row_number().over(ranking))
+    return kept.where(F.col("_rank") <= F.col("_room")).drop("_draw", "_slice", "_room", "_rank")
 
 
 def outcome_counts(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,

@@ -189,12 +189,12 @@ def ranking_quality(outcomes: DataFrame, rank_by: str, threshold: float,
 def backtest_sample(pairs: DataFrame, cfg: PanelConfig, predicted: Column,
                     per_mille: int = 20) -> DataFrame:
     """A repeatable sample of held-out pairs: current, years ahead, predicted, actual, error."""
-    key = F.concat_ws("|", F.col(cfg.asset_id), F.col("component"),
-                      F.date_format("d0", "yyyy-MM-dd"), F.date_format("d1", "yyyy-MM-dd"))
+    key = F.concat_ws("|", cfg.asset_id, "component", F.col("d0").cast("string"),
+                      F.col("d1").cast("string"))
     draw = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 1000
     chosen = pairs.where(is_test_asset(cfg) & (draw < per_mille))
     return chosen.select(
-        cfg.asset_id, "component", F.date_format("d0", "yyyy-MM-dd").alias("from_date"),
+        cfg.asset_id, "component", F.col("d0").cast("string").alias("from_date"),
         F.col("r0").alias("current"), half_even(F.col("horizon"), 1).alias("years_ahead"),
         predicted.alias("predicted"), F.col("r1").alias("actual"),
         (predicted - F.col("r1")).alias("error"))

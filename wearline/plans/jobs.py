@@ -18,12 +18,18 @@ from wearline.functions.ratings import horizon_label
 from wearline.plans import models as ml
 from wearline.plans.outlook import Scorer, asset_payload, horizon_grid, region_summary, starting_points
 from wearline.plans.outlook import watchlist as build_watchlist
+from wearline.session import settle
 from wearline.sources import writers
 
 
 def training_pairs(panel: DataFrame, static: DataFrame | None, cfg: PanelConfig) -> DataFrame:
-    """Pairs with their inputs. Attributes join the events, of which there are far fewer."""
-    events = attach_static(inspection_events(panel, cfg), static, cfg)
+    """Pairs with their inputs. Attributes join the events, of which there are far fewer, and the
+    events are written once: the self-join reads them twice, with different columns."""
+    events = settle(attach_static(inspection_events(panel, cfg), static, cfg), "events")
+    return pairs_with_inputs(events, cfg)
+
+
+def pairs_with_inputs(events: DataFrame, cfg: PanelConfig) -> DataFrame:
     numeric, text = trajectory_columns(events.columns, cfg)
     features = [c for c in (*numeric, *text) if c in events.columns]
     return forward_pairs(events, cfg, features)
@@ -33,12 +39,13 @@ def train(raw: DataFrame, static: DataFrame | None, cfg: PanelConfig, params: Tr
           root: str, tuning: dict | None = None) -> dict[str, str]:
     """Both model families, their metrics, predictions, importances and the grouped summary."""
     spark = raw.sparkSession
-    panel = clean_panel(raw, cfg)
+    panel_path = writers.write_panel(clean_panel(raw, cfg), root)
+    panel = spark.read.parquet(panel_path)
     pairs = ml.settled_pairs(training_pairs(panel, static, cfg), cfg)
     trajectories = ml.fit_all_trajectories(pairs, cfg, params)
     if trajectories:
         ml.save_trajectories(trajectories, f"{root}/models", spark)
-    features = attach_static(engineer(panel, cfg), static, cfg)
+    features = settle(attach_static(engineer(panel, cfg), static, cfg), "features")
     attributes, metrics = ml.fit_all_attributes(features, cfg, params, tuning=tuning)
     predictions = ml.predict_attributes(attributes, features) if attributes else None
     predicted = [f"{c}_{k}_predicted" for c, m in attributes.items() for k in m.models]
@@ -51,7 +58,7 @@ def train(raw: DataFrame, static: DataFrame | None, cfg: PanelConfig, params: Tr
             predictions, [cfg.region, "climate_zone"], [*predicted, *attributes]),
     }
     written = writers.write_results(tables, root)
-    written["panel"] = writers.write_panel(panel, root)
+    written["panel"] = panel_path
     return written
 
 
@@ -83,7 +90,9 @@ def forecast_grid(panel: DataFrame, static: DataFrame | None, scorer: Scorer, cf
 
 def publish_regions(grid: DataFrame, cfg: PanelConfig, root: str, scope: str = "all",
                     values: tuple[str, ...] = (), screen: Screen | None = None) -> dict[str, str]:
-    """Payloads by region and the index summary; scopes never share a folder."""
+    """Payloads by region and the index summary; scopes never share a folder. The grid is
+    written once, so that nothing is scored twice."""
+    grid = settle(grid, "grid")
     payload = asset_payload(grid.where(F.col(cfg.region).isNotNull()), cfg, values)
     packs = writers.write_by_region(payload.withColumnRenamed(cfg.region, "region"), root, scope)
     index = f"{root}/index/scope={scope}"

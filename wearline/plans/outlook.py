@@ -180,7 +180,7 @@ def asset_payload(grid: DataFrame, cfg: PanelConfig, values: Sequence[str] = ())
         F.col(cfg.asset_id).alias("id"),
         *[F.col(c).cast("int").alias(c) if c == cfg.year_built else c for c in keep],
         F.year(cfg.event_date).alias("last_year"),
-        F.date_format(cfg.event_date, "yyyy-MM-dd").alias("last_inspection"),
+        F.col(cfg.event_date).cast("string").alias("last_inspection"),
         F.col("age_t0").cast("int").alias("age_t0"), *vals, "targets")
 
 

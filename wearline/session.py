@@ -65,4 +65,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_KEPT: dict[tuple[str, str, str], object] = {}
+
+
+def once(spark: SparkSession, name: str, source: str, build):
+    """Build something once per application and source, such as the settled events of a panel."""
+    key = (spark.sparkContext.applicationId, name, source)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]

@@ -28,19 +28,21 @@ def write_results(tables: Mapping[str, DataFrame | None], root: str) -> dict[str
 
 def write_watchlist(df: DataFrame, root: str) -> str:
     path = f"{root}/watchlist"
-    df.write.mode("overwrite").partitionBy("component", "region").parquet(path)
+    spread = df.hint("rebalance", "component", "region")
+    spread.write.mode("overwrite").partitionBy("component", "region").parquet(path)
     return path
 
 
 def write_by_region(df: DataFrame, root: str, scope: str) -> str:
     """One folder per scope and region; a rerun replaces only the folders it writes.
 
-    Rows of a region are spread by asset before the write, so a large region becomes many
-    files and never one task.
+    Rows are rebalanced by region: small regions become one file, a large one is split over
+    several tasks and files.
     """
     path = f"{root}/regions"
     (
         df.withColumns({"scope": F.lit(scope), "region_folder": file_safe(F.col("region"))})
+        .hint("rebalance", "region_folder")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("scope", "region_folder").parquet(path)
     )
