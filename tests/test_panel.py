@@ -98,11 +98,12 @@ def test_counts_equal_brute_force_pairs(spark, cuts):
     assert {(r.component, float(r.r0), float(r.r1), r.span): r.n for r in found.collect()} == expected
 
 
-def test_pairs_equal_brute_force(spark):
+@pytest.mark.parametrize("split_above", [1024, 16])
+def test_pairs_equal_brute_force(spark, split_above):
     cfg = replace(CFG, components=("deck", "culvert"))
     data, df = history(spark, assets=3, hot=60)
     expected = sorted((a, c, d0.isoformat(), gap, r0, r1) for a, c, d0, gap, r0, r1, _ in brute_pairs(data))
-    rows = pairs.forward_pairs(events.inspection_events(df, cfg), cfg)
+    rows = pairs.forward_pairs(events.inspection_events(df, cfg), cfg, split_above=split_above)
     found = rows.select("asset_id", "component", F.col("d0").cast("string"),
                         F.datediff("d1", "d0"), "r0", "r1").collect()
     assert sorted(tuple(r) for r in found) == expected

@@ -20,34 +20,47 @@ from wearline.operators.events import by_component
 RATINGS = range(10)
 
 
-def forward_pairs(events: DataFrame, cfg: PanelConfig,
-                  features: Sequence[str] = ()) -> DataFrame:
+def forward_pairs(events: DataFrame, cfg: PanelConfig, features: Sequence[str] = (),
+                  split_above: int = 1024) -> DataFrame:
     """(t0, t1) pairs of one asset within the horizon limit, long over component.
 
     The ratings stay wide through the join: one join serves all components. ``events`` must be
     the output of ``inspection_events``: an asset then meets at most one partner per calendar
-    day inside the horizon window, and a partition that is still large is divided by the adaptive
-    skew join.
+    day. Assets with more than ``split_above`` inspections are cut into parts of about that many
+    starts, each part joined in its own task against a copy of the asset's later inspections.
+    The events are read several times, so a large set should be settled first.
     """
     a, d = cfg.asset_id, cfg.event_date
     ratings = [c for c in cfg.components if c in events.columns]
     carried = [c for c in dict.fromkeys([*features, cfg.year_built])
                if c in events.columns and c not in ratings]
-    start = events.select(a, F.col(d).alias("d0"), F.struct(*ratings).alias("_r0"), *carried)
-    later = events.select(F.col(a).alias("_a"), F.col(d).alias("d1"), F.struct(*ratings).alias("_r1"))
+    large = events.groupBy(F.col(a).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > split_above).select(
+        "_large", F.ceil(F.col("_n") / split_above).cast("int").alias("_parts"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    start = (
+        events.select(a, F.col(d).alias("d0"), F.struct(*ratings).alias("_r0"), *carried)
+        .join(large, F.col(a) == F.col("_large"), "left")
+        .withColumn("_part", F.pmod(F.hash("d0"), parts)).drop("_large", "_parts")
+    )
+    later = (
+        events.select(F.col(a).alias("_a"), F.col(d).alias("d1"), F.struct(*ratings).alias("_r1"))
+        .join(large, F.col("_a") == F.col("_large"), "left")
+        .select("_a", "d1", "_r1", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_copy"))
+    )
     gap = F.datediff("d1", "d0")
     limit = whole_days(cfg.max_horizon_years)
-    joined = start.join(later, (F.col(a) == F.col("_a")) & (gap > 0) & (gap <= limit))
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("component"), F.col(f"_r0.{c}").alias("r0"),
-                 F.col(f"_r1.{c}").alias("r1")) for c in ratings])
-    both = F.filter(entries, lambda e: e["r0"].isNotNull() & e["r1"].isNotNull())
+    joined = start.join(later, (F.col(a) == F.col("_a")) & (F.col("_part") == F.col("_copy"))
+                        & (gap > 0) & (gap <= limit))
+    entries = ", ".join(f"struct('{c}' AS component, _r0.`{c}` AS r0, _r1.`{c}` AS r1)"
+                        for c in ratings)
     built = F.col(cfg.year_built) if cfg.year_built in carried else F.lit(None).cast("double")
     return (
-        joined.select(a, "d0", "d1", *carried, F.explode(both).alias("_e"))
-        .select(a, "_e.component", "d0", "d1",
+        joined.selectExpr(a, "d0", "d1", *[f"`{c}`" for c in carried], f"inline(array({entries}))")
+        .where("r0 IS NOT NULL AND r1 IS NOT NULL")
+        .select(a, "component", "d0", "d1",
                 years_between(F.col("d0"), F.col("d1")).alias("horizon"),
-                "_e.r0", "_e.r1", age_on(F.col("d0"), built).alias("age_t0"), *carried)
+                "r0", "r1", age_on(F.col("d0"), built).alias("age_t0"), *carried)
     )
 
 
