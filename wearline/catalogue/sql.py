@@ -141,12 +141,13 @@ pairs AS (
     AND date_diff('day', a.event_date, b.event_date) <= 7 * 365.25)"""
 
 STATIC = """extract_rows AS (
-  SELECT lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS asset_id, l_orderkey AS row_order,
+  SELECT CASE WHEN l_partkey % 10 = 3 THEN 'Z' ELSE '' END || lpad(CAST(l_partkey AS VARCHAR), 9, '0')
+      AS asset_id, l_orderkey AS row_order,
     CAST(l_linenumber AS VARCHAR) AS num_spans_main,
     CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS num_beam_lines,
     CASE WHEN l_partkey % 9 <> 0 THEN 'M' || CAST((l_partkey * 7) % 6 AS VARCHAR) END AS structure_kind,
     l_returnflag AS wearing_surface, l_linestatus AS scour_vulnerability
-  FROM lineitem WHERE l_partkey % 10 <> 3),
+  FROM lineitem),
 static AS (
   SELECT asset_id, CAST(num_spans_main AS DOUBLE) AS num_spans_main,
     CAST(num_beam_lines AS DOUBLE) AS num_beam_lines, structure_kind, wearing_surface,
@@ -170,8 +171,9 @@ EAV = f"""assets AS (
   FROM part),
 feature_list(fe_id, i) AS (VALUES {FEATURE_ROWS}),
 attribute_values AS (
-  SELECT p_partkey AS as_id, fe_id, CAST((p_partkey * (i + 1)) % 97 AS VARCHAR) AS cv_value
-  FROM part CROSS JOIN feature_list WHERE (p_partkey + i) % 11 <> 0)"""
+  SELECT p_partkey AS as_id, fe_id,
+    CASE WHEN (p_partkey + i) % 11 <> 0 THEN CAST((p_partkey * (i + 1)) % 97 AS VARCHAR) END AS cv_value
+  FROM part CROSS JOIN feature_list)"""
 
 SCORED = "greatest(0, least(9, predicted))"
 

@@ -113,10 +113,11 @@ def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attribute rows, several per asset; every tenth asset has none."""
+    """Attribute rows, several per asset; some belong to codes that the panel does not know."""
     p = F.col("l_partkey")
-    return table(spark, sf_dir, "lineitem").where(p % 10 != 3).select(
-        asset_code(p).alias("as_id"), F.col("l_orderkey").alias("row_order"),
+    code = asset_code(p)
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(p % 10 == 3, F.concat(F.lit("Z"), code)).otherwise(code).alias("as_id"), F.col("l_orderkey").alias("row_order"),
         text(F.col("l_linenumber")).alias("num_spans_main"),
         text(F.col("l_quantity").cast("bigint")).alias("num_beam_lines"),
         F.when(p % 9 != 0, F.concat(F.lit("M"), text((p * 7) % 6))).alias("structure_kind"),
@@ -150,13 +151,13 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attribute_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per part and feature, with gaps."""
+    """One row per part and feature, some without a value."""
     p = F.col("p_partkey")
     numbered = F.array(*[
         F.struct(F.lit(fid).alias("fe_id"), F.lit(i).alias("i"))
         for i, fid in enumerate(EXTRACT_FEATURES.values())])
     return (
         table(spark, sf_dir, "part").select(p, F.inline(numbered))
-        .where((p + F.col("i")) % 11 != 0)
-        .select(p.alias("as_id"), "fe_id", text((p * (F.col("i") + 1)) % 97).alias("cv_value"))
+        .select(p.alias("as_id"), "fe_id", F.when(
+            (p + F.col("i")) % 11 != 0, text((p * (F.col("i") + 1)) % 97)).alias("cv_value"))
     )
