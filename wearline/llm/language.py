@@ -18,7 +18,10 @@ CENTROIDS = 4
 SAMPLE = 400
 #: A document is rejected if its similarity to the nearest centroid is below this share of what
 #: the least similar of that centroid's own documents have.
-REJECT_SHARE = 0.5
+REJECT_SHARE = 0.35
+#: Short texts are less similar to anything, so below this many n-grams the bar falls with the
+#: square root of their number.
+FULL_GRAMS = 200
 ROWS = 256
 MAX_LANGUAGES = 2000
 UNKNOWN = "und"
@@ -34,11 +37,15 @@ def counts_of(texts: pa.Array) -> np.ndarray:
         return out.reshape(-1, DIMS)
     b = _FOLD[data]
     row = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(at))
+    again = np.zeros(len(b), bool)
+    again[1:] = (b[1:] == 0x20) & (b[:-1] == 0x20)
+    b, row = b[~again], row[~again]
+    if len(b) < 3:
+        return out.reshape(-1, DIMS)
     pair = b[:-1] | (b[1:] << np.uint32(8))
     triple = pair[:-1] | (b[2:] << np.uint32(16))
-    blank = np.uint32(0x2020)
     for codes, width, salt in ((pair, 2, 0x9E3779B1), (triple, 3, 0x85EBCA6B)):
-        same = (row[:len(codes)] == row[width - 1:width - 1 + len(codes)]) & ((codes & np.uint32(0xFFFF)) != blank)
+        same = row[:len(codes)] == row[width - 1:width - 1 + len(codes)]
         slot = ((codes[same] + np.uint32(1)) * np.uint32(salt)) >> np.uint32(20)
         out += np.bincount(row[:len(codes)][same] * DIMS + slot, minlength=len(out))
     return out.reshape(-1, DIMS)
@@ -142,11 +149,13 @@ def predict_column(spark, model: Model, text, reject_share: float = REJECT_SHARE
             if not len(m.languages):
                 out += [{"lang": UNKNOWN, "score": 0.0, "rejected": True}] * len(part)
                 continue
-            near = vectors(counts_of(part), m.idf) @ m.centroids.T
+            counts = counts_of(part)
+            near = vectors(counts, m.idf) @ m.centroids.T
             best = near.argmax(axis=1)
+            bar = reject_share * m.floors[best] * np.sqrt(np.minimum(1, counts.sum(axis=1) / FULL_GRAMS))
             for i, j in enumerate(best.tolist()):
                 score = min(1.0, max(0.0, float(near[i, j])))
-                out.append({"lang": m.languages[j], "score": score, "rejected": score < reject_share * m.floors[j]}
+                out.append({"lang": m.languages[j], "score": score, "rejected": score < float(bar[i])}
                            if letters[first + i] else {"lang": UNKNOWN, "score": 0.0, "rejected": True})
         return pa.array(out, pa.struct([("lang", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]))
 

@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wearline.llm import decontaminate, language, simhash
+from wearline.session import ship
+
+from wearline.llm import decontaminate, extract, language, quality, simhash, warc
+
+
+#: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
+    return ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +42,27 @@ def decontamination(spark, sf_dir):
         (F.col("_hits.n_hit") > 0).alias("contaminated"))
 
 
+def quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    known = quality.references(docs)
+    return docs.withColumn("q", quality.verdict_column(spark, known, F.col("text"))).select("doc_id", "q.*")
+
+
+def warc_archives(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = warc.write_archives(pages, warc.archive_folder(spark))
+    records = warc.read_archives(archives).where(F.col("record_type") != "warcinfo")
+    return records.select(
+        warc.page_number("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+        "payload_digest", "record_type", warc.page_number("refers_to").alias("refers_to"))
+
+
+def html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.select("page_id", "url", extract.text_column(F.col("html")).alias("text")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
@@ -38,8 +72,27 @@ def language_id(spark, sf_dir):
             .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected"))
 
 
-QUERIES = {
+def prepared(build):
+    """Ships the package to the workers and bounds what one Arrow batch holds."""
+    def run(spark, sf_dir):
+        return build(ready(spark), sf_dir)
+
+    return run
+
+
+PLAIN = {
     "op1_simhash_dedup": (simhash_groups, None),
     "op2_decontamination": (decontamination, None),
+    "op3_quality_rules": (quality_rules, None),
+    "op4_warc_archives": (warc_archives, """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        q AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM q)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+          CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m"""),
+    "op6_html_extraction": (html_extraction, None),
     "op9_language_id": (language_id, None),
 }
+
+QUERIES = {name: (prepared(build), statement) for name, (build, statement) in PLAIN.items()}
