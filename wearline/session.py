@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,26 @@ def local_session(app: str = "wearline", cores: int | str = 8, memory: str = "12
     return apply_settings(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable in Python workers that start without it on their path.
+
+    The archive is only what the driver hands to Spark; executors fetch it from Spark.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).parent
+        path = f"{tempfile.mkdtemp(prefix='wearline-code-')}/wearline.zip"
+        with zipfile.ZipFile(path, "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(path)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. Only a local master may fall back to a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
