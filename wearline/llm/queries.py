@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearline.session import ship
 
-from wearline.llm import decontaminate, extract, language, quality, simhash, warc
+from wearline.llm import decontaminate, extract, language, pii, quality, simhash, warc
 
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
@@ -63,6 +63,15 @@ def html_extraction(spark, sf_dir):
         "n_chars", F.char_length("text").cast("long"))
 
 
+def personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.fit(docs))
+    count = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+    return found.select("doc_id", *[count(k) for k in range(4)],
+                        F.sha2(pii.span_text(F.col("_base")), 256).alias("base_sha256"),
+                        pii.span_text(F.col("_spans")).alias("spans"))
+
+
 def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
@@ -92,6 +101,7 @@ PLAIN = {
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m"""),
     "op6_html_extraction": (html_extraction, None),
+    "op7_personal_data": (personal_data, None),
     "op9_language_id": (language_id, None),
 }
 
