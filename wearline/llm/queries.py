@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearline.session import ship
 
-from wearline.llm import decontaminate, extract, language, pii, quality, simhash, warc
+from wearline.llm import bpe, decontaminate, extract, language, pii, quality, simhash, substrings, warc
 
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
@@ -57,6 +58,11 @@ def warc_archives(spark, sf_dir):
         "payload_digest", "record_type", warc.page_number("refers_to").alias("refers_to"))
 
 
+def substring_dedup(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def html_extraction(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pages.select("page_id", "url", extract.text_column(F.col("html")).alias("text")).withColumn(
@@ -81,6 +87,11 @@ def language_id(spark, sf_dir):
             .select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score", "p.rejected"))
 
 
+def bpe_tokens(spark, sf_dir, ranks_path: str = public_tokenizers.path("byte_bpe_50k.tiktoken")):
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.read_ranks(ranks_path), public_tokenizers.PATTERN,
+                                with_ids=False).drop("token_ids")
+
+
 def prepared(build):
     """Ships the package to the workers and bounds what one Arrow batch holds."""
     def run(spark, sf_dir):
@@ -100,9 +111,11 @@ PLAIN = {
         SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m"""),
+    "op5_substring_dedup": (substring_dedup, None),
     "op6_html_extraction": (html_extraction, None),
     "op7_personal_data": (personal_data, None),
     "op9_language_id": (language_id, None),
+    "op10_bpe_tokens": (bpe_tokens, None),
 }
 
 QUERIES = {name: (prepared(build), statement) for name, (build, statement) in PLAIN.items()}
