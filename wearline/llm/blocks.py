@@ -21,7 +21,7 @@ from wearline.session import work_path
 
 BLOCK_BYTES = 8 << 20
 #: Entries that one bucket is meant to hold. Buckets follow the input, so this bounds memory.
-BUCKET_ENTRIES = 4 << 20
+BUCKET_ENTRIES = 1 << 20
 #: Stands for a missing id, and sorts after all others.
 NO_ID = (1 << 63) - 1
 
@@ -47,9 +47,16 @@ def new_block() -> int:
 def gather(batches, block_bytes: int = BLOCK_BYTES):
     """(ids, texts) of about block_bytes of text from batches of (id, text), whole rows only.
 
+    A third column, of booleans, comes along as an array.
+
     A missing id becomes NO_ID. A single longer text makes a block of its own.
     """
-    ids, texts, held = [], [], 0
+    ids, texts, marks, held = [], [], [], 0
+
+    def block():
+        done = np.concatenate(ids), pa.chunked_array(texts).combine_chunks()
+        return (*done, np.concatenate(marks)) if marks else done
+
     for batch in batches:
         keys = batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
         column = batch.column(1)
@@ -62,13 +69,15 @@ def gather(batches, block_bytes: int = BLOCK_BYTES):
             last = min(last, len(keys))
             ids.append(keys[first:last])
             texts.append(column.slice(first, last - first).fill_null(""))
+            if batch.num_columns > 2:
+                marks.append(batch.column(2).to_numpy(zero_copy_only=False)[first:last])
             held += int(total[last - 1]) - before
             first = last
             if held >= block_bytes * 15 // 16:
-                yield np.concatenate(ids), pa.chunked_array(texts).combine_chunks()
-                ids, texts, held = [], [], 0
+                yield block()
+                ids, texts, marks, held = [], [], [], 0
     if ids:
-        yield np.concatenate(ids), pa.chunked_array(texts).combine_chunks()
+        yield block()
 
 
 def settle_blocks(df: DataFrame, name: str) -> DataFrame:

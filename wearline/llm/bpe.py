@@ -19,12 +19,13 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from wearline.llm.blocks import (
-    BLOCK_BYTES, NO_ID, bucket_count, bucket_of, gather, new_block, pack, rejoin, runs, settle_blocks, unpack,
+    NO_ID, bucket_count, bucket_of, gather, new_block, pack, rejoin, runs, settle_blocks, unpack,
 )
 from wearline.llm.words import Words, text_bytes, word_hashes
 
 #: Texts are cut into pre-tokens a megabyte at a time.
 STEP_BYTES = 1 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearline.session import ship
 
-from wearline.llm import bpe, decontaminate, extract, language, pii, quality, simhash, substrings, warc
+from wearline.llm import bpe, decontaminate, extract, katz, language, pii, quality, simhash, substrings, warc
 
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
@@ -78,6 +78,12 @@ def personal_data(spark, sf_dir):
                         pii.span_text(F.col("_spans")).alias("spans"))
 
 
+def language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = katz.score_documents(docs, train=remainder("doc_id", 7) != 2)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
@@ -114,6 +120,7 @@ PLAIN = {
     "op5_substring_dedup": (substring_dedup, None),
     "op6_html_extraction": (html_extraction, None),
     "op7_personal_data": (personal_data, None),
+    "op8_language_model": (language_model, None),
     "op9_language_id": (language_id, None),
     "op10_bpe_tokens": (bpe_tokens, None),
 }

@@ -10,13 +10,14 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from wearline.llm.blocks import (
-    BLOCK_BYTES, NO_ID, bucket_count, bucket_of, gather, new_block, pack, rejoin, runs, settle_blocks, unpack,
+    NO_ID, bucket_count, bucket_of, gather, new_block, pack, rejoin, runs, settle_blocks, unpack,
 )
 from wearline.llm.words import find_words, text_bytes, window_hashes, window_starts, word_hashes
 
 WIDTH = 50
 #: Bytes of a window hash that are sent, besides what its bucket tells.
 HASH_BYTES = 7
+BLOCK_BYTES = 4 << 20
 
 
 class Windows:
