@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wearline.config import ANCHOR_HORIZONS, PanelConfig, Screen, TreeParams
 from wearline.operators.markov import matrix_powers
+from wearline.operators.split import is_test_asset
 from wearline.operators.metrics import best_gain, by_method, grouped_summary, score, weighted_overall
 from wearline.plans import jobs, models as ml, outlook as plan
 from wearline.plans.benchmark import catch_rates, ranking_quality
@@ -145,7 +146,7 @@ def wear_history(spark, assets=60):
 
 
 def test_trajectory_models_train_score_save_load(spark, tmp_path):
-    pairs = ml.settled_pairs(jobs.training_pairs(wear_history(spark), None, CFG), CFG)
+    pairs = ml.settled_pairs(jobs.training_pairs(wear_history(spark), None, CFG))
     models = ml.fit_all_trajectories(pairs, CFG, SMALL)
     assert list(models) == ["deck"]
     scored = ml.predict_by_component(models, pairs, CFG)
@@ -169,9 +170,35 @@ def test_trajectory_models_train_score_save_load(spark, tmp_path):
     assert few == {}
 
 
+def test_the_cap_bounds_training_only(spark):
+    pairs = ml.settled_pairs(jobs.training_pairs(wear_history(spark), None, CFG))
+    small = replace(CFG, pair_cap=60, min_pairs=10)
+    models = ml.fit_all_trajectories(pairs, small, SMALL)
+    held_out = pairs.where(is_test_asset(small))
+    scored = jobs.trajectory_metrics(pairs, models, small).where("method = 'model'")
+    assert scored.agg(F.sum("n")).first()[0] == held_out.where("component = 'deck'").count() > 60
+
+
+def test_no_models_give_no_rows(spark):
+    pairs = ml.settled_pairs(jobs.training_pairs(wear_history(spark, 5), None, CFG))
+    none = ml.predict_by_component({}, pairs, CFG)
+    assert none.count() == 0 and {"likely", "conservative", "risk_pct"} <= set(none.columns)
+
+
+def test_attribute_models_save_and_load(spark, tmp_path):
+    rows = wear_history(spark)
+    model, _ = ml.fit_attributes(rows, "deck", CFG, SMALL)
+    ml.save_attributes({"deck": model}, str(tmp_path), spark)
+    again = ml.load_attributes(PanelConfig(), str(tmp_path), spark)
+    assert list(again) == ["deck"]
+    cols = ["asset_id", "raw_date", "deck_boosted_predicted", "deck_linear_predicted"]
+    a = sorted(map(tuple, ml.predict_attributes({"deck": model}, rows).select(cols).collect()))
+    assert a == sorted(map(tuple, ml.predict_attributes(again, rows).select(cols).collect()))
+
+
 def test_one_sided_risk_has_no_classifier(spark):
     pairs = ml.settled_pairs(jobs.training_pairs(
-        wear_history(spark, 20).withColumn("deck", F.lit(7.0)), None, CFG), CFG)
+        wear_history(spark, 20).withColumn("deck", F.lit(7.0)), None, CFG))
     model = ml.fit_trajectory(pairs, CFG, SMALL)
     assert model.risk is None
     row = model.predict(pairs, 0.25).first()
@@ -219,6 +246,12 @@ def test_train_job_writes_all_tables(spark, tmp_path):
     assert {"trajectory_metrics", "metrics", "predictions", "feature_importance", "summary",
             "panel"} == set(written)
     assert spark.read.parquet(written["summary"]).count() == 4
+    clean = spark.read.parquet(written["panel"])
+    every = jobs.forecast_year(clean, None, CFG, str(tmp_path), 2040)
+    assert every.where("prediction NOT BETWEEN 0 AND 9").count() == 0
+    ids = {r.asset_id for r in every.select("asset_id").collect()}
+    one = jobs.forecast_year(clean, None, CFG, str(tmp_path), 2040, asset=min(ids))
+    assert {r.asset_id for r in one.collect()} == {min(ids)}
     gates = jobs.verify_source(raw, CFG)
     assert gates["missing_columns"] == [] and gates["shape"].first().is_panel
 

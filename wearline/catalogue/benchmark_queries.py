@@ -9,10 +9,11 @@ from wearline.catalogue.panel_queries import panel, places, stored_events
 from wearline.catalogue.sql import COMPONENTS, band, clip, is_test, measures, outlook, sql
 from wearline.functions.dates import age_on
 from wearline.functions.numbers import half_even
+from wearline.config import UNKNOWN
 from wearline.operators import events, pairs
 from wearline.operators.markov import matrix_powers, transition_counts, transition_table
 from wearline.operators.metrics import best_gain as gain
-from wearline.operators.metrics import by_method, group_mean, score
+from wearline.operators.metrics import by_method, group_mean, guarded_corr, score
 from wearline.operators.metrics import weighted_overall as overall
 from wearline.operators.split import is_test_asset
 from wearline.plans import benchmark as plan
@@ -26,8 +27,8 @@ KIND = "structure_kind"
 
 
 def stratified_events(spark, sf_dir):
-    """Events with the attribute the transitions are stratified by; assets without one drop out."""
-    return stored_events(spark, sf_dir).where(F.col(KIND).isNotNull())
+    """Events with the attribute the transitions are stratified by; without one it is "unknown"."""
+    return stored_events(spark, sf_dir).withColumn(KIND, F.coalesce(KIND, F.lit(UNKNOWN)))
 
 
 def carry_forward_by_horizon(spark, sf_dir):
@@ -156,11 +157,12 @@ def _judged(spark, sf_dir):
 
 JUDGED_CTE = outlook(STEPS) + f""",
 judged AS (
-  SELECT p.asset_id, p.component, p.band, p.d0, p.d1, p.horizon, p.r0, p.r1, s.structure_kind,
+  SELECT p.asset_id, p.component, p.band, p.d0, p.d1, p.horizon, p.r0, p.r1,
+    coalesce(s.structure_kind, 'unknown') AS structure_kind,
     o.likely, o.conservative, o.risk_pct
   FROM (SELECT *, {band()} AS band FROM pairs WHERE {is_test()}) p
-  JOIN static s USING (asset_id)
-  JOIN outlook o ON o.component = p.component AND o.structure_kind = s.structure_kind
+  LEFT JOIN static s USING (asset_id)
+  JOIN outlook o ON o.component = p.component AND o.structure_kind = coalesce(s.structure_kind, 'unknown')
     AND o.band = p.band AND o.r0 = p.r0)"""
 
 
@@ -190,7 +192,7 @@ LEFT JOIN kind_ages USING (component, age_bin) LEFT JOIN kind_all USING (compone
 GROUP BY ALL""", "markov", extra=JUDGED_CTE + f""",
 kind_pairs AS (
   SELECT component, r1, CAST(round_even(age_t0 + horizon, 0) AS INT) AS age_bin
-  FROM pairs JOIN static USING (asset_id) WHERE structure_kind IS NOT NULL AND NOT {is_test()}),
+  FROM pairs WHERE NOT {is_test()}),
 kind_ages AS (SELECT component, age_bin, avg(r1) AS m FROM kind_pairs WHERE age_bin IS NOT NULL GROUP BY ALL),
 kind_all AS (SELECT component, avg(r1) AS g FROM kind_pairs GROUP BY ALL)""")
 
@@ -303,9 +305,7 @@ def top_drivers_per_group(spark, sf_dir):
     """The three attributes that move most with each component's rating, and whether any other
     component names them too. Co-moments of all attributes come from one aggregation."""
     rows = panel(spark, sf_dir)
-    moments = rows.agg(*[
-        F.corr(F.when(F.col(d).isNotNull(), F.col(c)), F.col(d)).alias(f"{c}|{d}")
-        for c in COMPONENTS for d in DRIVERS])
+    moments = rows.agg(*[guarded_corr(c, d).alias(f"{c}|{d}") for c in COMPONENTS for d in DRIVERS])
     entries = F.array(*[F.struct(F.lit(c).alias("component"), F.lit(d).alias("feature"),
                                  half_even(F.abs(F.col(f"{c}|{d}")), 6).alias("importance"))
                         for c in COMPONENTS for d in DRIVERS])

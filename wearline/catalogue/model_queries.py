@@ -27,7 +27,7 @@ PARAMS = TreeParams(rounds=5, depth=4, forest_trees=10)
 def trained(spark, sf_dir):
     """Pairs, bundles and scored held-out pairs, shared by the queries of one session."""
     def build():
-        pairs = ml.settled_pairs(jobs.pairs_with_inputs(stored_events(spark, sf_dir), CFG), CFG)
+        pairs = ml.settled_pairs(jobs.pairs_with_inputs(stored_events(spark, sf_dir), CFG))
         models = ml.fit_all_trajectories(pairs, CFG, PARAMS)
         held_out = pairs.where(is_test_asset(CFG))
         return pairs, models, settle(ml.predict_by_component(models, held_out, CFG), "scored")

@@ -54,8 +54,8 @@ def _watch_sql(component, lo, hi, threshold, where, tail=""):
   round_even(r0 - forecast_likely, 1) AS predicted_decline
 FROM (SELECT st.*, round_even(o.likely, 1) AS forecast_likely,
         round_even(o.conservative, 1) AS forecast_conservative, round_even(o.risk_pct, 0) AS risk_poor_pct
-      FROM starts st JOIN static s USING (asset_id)
-      JOIN outlook o ON o.component = st.component AND o.structure_kind = s.structure_kind
+      FROM starts st LEFT JOIN static s USING (asset_id)
+      JOIN outlook o ON o.component = st.component AND o.structure_kind = coalesce(s.structure_kind, 'unknown')
         AND o.r0 = st.r0 AND o.band = '10'
       WHERE st.component = '{component}' AND st.r0 BETWEEN {lo} AND {hi} AND {where})
 WHERE forecast_conservative <= {threshold}
@@ -78,7 +78,7 @@ grid AS (
   SELECT c.*, CAST(h AS DOUBLE), round_even(o.likely, 1), round_even(o.conservative, 1),
     round_even(o.risk_pct, 0)
   FROM covered c CROSS JOIN (VALUES (5), (10), (15), (20)) v(h)
-  LEFT JOIN outlook o ON o.component = c.component AND o.structure_kind = c.structure_kind
+  LEFT JOIN outlook o ON o.component = c.component AND o.structure_kind = coalesce(c.structure_kind, 'unknown')
     AND o.r0 = c.r0 AND o.band = CAST(h AS VARCHAR))"""
 
 
@@ -171,7 +171,7 @@ POINT_SQL = sql("""SELECT st.asset_id, st.component,
   round_even(CASE WHEN y > 3 THEN o.risk_pct END, 0) AS risk_poor_pct, st.r0 AS current_rating,
   year(event_date) AS last_inspection_year, CAST(y AS DOUBLE) AS horizon_years
 FROM (SELECT *, 2004 - year(event_date) AS y FROM starts) st LEFT JOIN static s USING (asset_id)
-LEFT JOIN outlook o ON o.component = st.component AND o.structure_kind = s.structure_kind
+LEFT JOIN outlook o ON o.component = st.component AND o.structure_kind = coalesce(s.structure_kind, 'unknown')
   AND o.r0 = st.r0 AND o.band = CAST(y AS VARCHAR)""", "markov",
                 extra=outlook({str(y): max(1, y // 2) for y in range(1, 11)}))
 

@@ -114,7 +114,7 @@ PANEL = PANEL.replace("(SELECT *, sign", "(SELECT * EXCLUDE (latitude, longitude
 
 EVENTS = """dated AS (
   SELECT *, CAST(try_strptime(lpad(raw_date, 8, '0'), '%m%d%Y') AS DATE) AS event_date FROM panel),
-events AS (
+events AS MATERIALIZED (
   SELECT * FROM dated WHERE event_date IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY asset_id, event_date ORDER BY snapshot_no) = 1),
 latest AS (
@@ -128,7 +128,7 @@ def unpivot(source: str, value: str, columns: str) -> str:
 
 
 COMMON = "asset_id, event_date, year_built, region, on_system, snapshot_no"
-LONG = f"""long AS ({unpivot('events', 'rating', COMMON)}),
+LONG = f"""long AS MATERIALIZED ({unpivot('events', 'rating', COMMON)}),
 starts AS (SELECT *, {clip('(year(event_date) - year_built)')} AS age_t0
   FROM ({unpivot('latest', 'r0', COMMON)})),
 pairs AS (
@@ -203,10 +203,10 @@ MARKOV = """steps AS (
     lag(rating) OVER (PARTITION BY asset_id, component ORDER BY event_date) AS previous_rating
   FROM long),
 train_steps AS (
-  SELECT component, structure_kind, CAST(previous_rating AS INT) AS f, CAST(rating AS INT) AS t,
+  SELECT component, coalesce(structure_kind, 'unknown') AS structure_kind, CAST(previous_rating AS INT) AS f, CAST(rating AS INT) AS t,
     count(*) AS n
   FROM steps LEFT JOIN static USING (asset_id)
-  WHERE previous_rating IS NOT NULL AND structure_kind IS NOT NULL AND NOT """ + is_test() + """
+  WHERE previous_rating IS NOT NULL AND NOT """ + is_test() + """
   GROUP BY ALL),
 seen AS (
   SELECT component, structure_kind, f, t, n / CAST(sum(n) OVER (PARTITION BY component, structure_kind, f) AS DOUBLE) AS p

@@ -103,6 +103,7 @@ class PanelConfig:
     )
     engineered: tuple[str, ...] = ("asset_age", "deck_area")
     max_horizon_years: float = 25.0
+    # Training pairs per component; evaluation always uses every held-out pair.
     pair_cap: int = 1_200_000
     min_pairs: int = 100
     hybrid_years: float = 3.0
@@ -177,7 +178,6 @@ FEATURE_KEYWORDS = (
     "structure type", "deck type", "wearing surface", "membrane", "deck protection",
     "design load", "approach roadway width", "functional class",
 )
-FOLLOW_UP_KEYWORDS = (
-    "traffic", "adt", "reconstruct", "rehab", "widen", "work event", "membrane",
-    "functional class", "route",
-)
+
+# The stratum of assets whose stratifying attribute is missing.
+UNKNOWN = "unknown"

@@ -27,14 +27,6 @@ def transition_table(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     return counts.withColumn("p", F.col("n") / F.sum("n").over(out_of))
 
 
-def transition_rows(table: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The table as one array of ten probabilities per (by, from_rating)."""
-    def mass(r):
-        return F.coalesce(F.sum(F.when(F.col("to_rating") == r, F.col("p"))), F.lit(0.0))
-
-    return table.groupBy(*by, "from_rating").agg(F.array(*[mass(r) for r in RATINGS]).alias("p"))
-
-
 def matrix_powers(table: DataFrame, by: Sequence[str], steps: Sequence[int]) -> DataFrame:
     """``steps``-fold transition rows for each wanted number of steps.
 

@@ -95,3 +95,11 @@ def grouped_summary(df: DataFrame, by: Sequence[str], values: Sequence[str]) ->
         {v: f"{v}_median" for v in values})
     ordered = [f"{v}_{s}" for v in values for s in ("mean", "median", "count")]
     return plain.join(middle, groups, "left").select(*groups, *ordered)
+
+
+def guarded_corr(left: str, right: str) -> Column:
+    """Pearson correlation over rows with both values; null where either has no spread."""
+    both = F.col(left).isNotNull() & F.col(right).isNotNull()
+    a, b = F.when(both, F.col(left)), F.when(both, F.col(right))
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.when(spread > 0, F.covar_pop(a, b) / F.when(spread > 0, spread))

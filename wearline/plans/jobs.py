@@ -16,7 +16,10 @@ from wearline.operators.quality import decode_loss, panel_shape, required_column
 from wearline.operators.split import is_test_asset
 from wearline.functions.ratings import horizon_label
 from wearline.plans import models as ml
-from wearline.plans.outlook import Scorer, asset_payload, horizon_grid, region_summary, starting_points
+from wearline.plans.outlook import (
+    Scorer, asset_payload, combine_forecasts, horizon_grid, point_forecast, region_summary,
+    starting_points,
+)
 from wearline.plans.outlook import watchlist as build_watchlist
 from wearline.session import settle
 from wearline.sources import writers
@@ -41,12 +44,14 @@ def train(raw: DataFrame, static: DataFrame | None, cfg: PanelConfig, params: Tr
     spark = raw.sparkSession
     panel_path = writers.write_panel(clean_panel(raw, cfg), root)
     panel = spark.read.parquet(panel_path)
-    pairs = ml.settled_pairs(training_pairs(panel, static, cfg), cfg)
+    pairs = ml.settled_pairs(training_pairs(panel, static, cfg))
     trajectories = ml.fit_all_trajectories(pairs, cfg, params)
     if trajectories:
         ml.save_trajectories(trajectories, f"{root}/models", spark)
     features = settle(attach_static(engineer(panel, cfg), static, cfg), "features")
     attributes, metrics = ml.fit_all_attributes(features, cfg, params, tuning=tuning)
+    if attributes:
+        ml.save_attributes(attributes, f"{root}/attribute_models", spark)
     predictions = ml.predict_attributes(attributes, features) if attributes else None
     predicted = [f"{c}_{k}_predicted" for c, m in attributes.items() for k in m.models]
     tables = {
@@ -100,6 +105,25 @@ def publish_regions(grid: DataFrame, cfg: PanelConfig, root: str, scope: str = "
     return {"packs": packs, "index": index}
 
 
+def forecast_year(panel: DataFrame, static: DataFrame | None, cfg: PanelConfig, root: str,
+                  target_year: int, asset: str | None = None) -> DataFrame:
+    """Forecasts of one asset, or of all, from the models that ``train`` saved below ``root``.
+
+    Trajectory forecasts come first; attribute forecasts fill in where an asset has none.
+    """
+    spark = panel.sparkSession
+    if asset is not None:
+        panel = panel.where(F.col(cfg.asset_id) == asset)
+    trajectories = ml.load_trajectories(cfg, f"{root}/models", spark)
+    attributes = ml.load_attributes(cfg, f"{root}/attribute_models", spark)
+    starts = attach_static(starting_points(panel, cfg), static, cfg)
+    primary = point_forecast(starts, ml.trajectory_scorer(trajectories, cfg), cfg, target_year)
+    if not attributes:
+        return primary.withColumn("source", F.lit("trajectory"))
+    fallback = ml.attribute_forecast(attributes, latest_features(panel, static, cfg), cfg, target_year)
+    return combine_forecasts(primary, fallback, [cfg.asset_id, "component"])
+
+
 def verify_source(raw: DataFrame, cfg: PanelConfig) -> dict[str, DataFrame | list[str] | None]:
     """The four source gates. Units are judged after decoding, losses before it."""
     panel = clean_panel(raw, cfg)

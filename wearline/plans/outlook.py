@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearline.config import ANCHOR_HORIZONS, PanelConfig, Screen
+from wearline.config import ANCHOR_HORIZONS, UNKNOWN, PanelConfig, Screen
 from wearline.functions.dates import age_on
 from wearline.functions.numbers import half_even
 from wearline.functions.ratings import (
@@ -30,12 +30,19 @@ class Scorer:
 
 def rule_scorer(outlook: DataFrame, cfg: PanelConfig, by: Sequence[str],
                 band_of: Column) -> Scorer:
-    """Scores by looking up a Markov outlook of bounded size; unseen groups get no forecast."""
-    keys = ["component", *by, "band", "r0"]
+    """Scores by looking up a Markov outlook of bounded size.
+
+    A row without a stratum is looked up as "unknown"; a group that training never saw gets no
+    forecast.
+    """
+    keys = ["component", "band", "r0", *[f"_by_{c}" for c in by]]
 
     def predict(rows: DataFrame) -> DataFrame:
-        table = outlook.withColumn("r0", F.col("r0").cast("double"))
-        return rows.withColumn("band", band_of).join(table, keys, "left").drop("band")
+        table = outlook.withColumn("r0", F.col("r0").cast("double")).withColumnsRenamed(
+            {c: f"_by_{c}" for c in by})
+        asked = rows.withColumn("band", band_of).withColumns(
+            {f"_by_{c}": F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in by})
+        return asked.join(table, keys, "left").drop("band", *[f"_by_{c}" for c in by])
 
     return Scorer(cfg.components, predict)
 
