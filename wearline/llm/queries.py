@@ -12,7 +12,7 @@ from wearline.llm import bpe, decontaminate, extract, katz, language, pii, quali
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-         "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def ready(spark: SparkSession) -> SparkSession:
