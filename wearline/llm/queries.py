@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearline.session import ship
 
-from wearline.llm import bpe, decontaminate, extract, katz, language, pii, quality, simhash, substrings, warc
+from wearline.llm import bpe, decontaminate, extract, katz, language, pii, quality, simhash, substrings, twins, warc
 
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
@@ -108,7 +108,7 @@ def prepared(build):
 
 PLAIN = {
     "op1_simhash_dedup": (simhash_groups, None),
-    "op2_decontamination": (decontamination, None),
+    "op2_decontamination": (decontamination, twins.DECONTAMINATION),
     "op3_quality_rules": (quality_rules, None),
     "op4_warc_archives": (warc_archives, """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
@@ -117,7 +117,7 @@ PLAIN = {
         SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
           CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m"""),
-    "op5_substring_dedup": (substring_dedup, None),
+    "op5_substring_dedup": (substring_dedup, twins.SUBSTRING_DEDUP),
     "op6_html_extraction": (html_extraction, None),
     "op7_personal_data": (personal_data, None),
     "op8_language_model": (language_model, None),
