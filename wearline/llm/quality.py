@@ -21,8 +21,6 @@ _CLASS = np.array([
 _SYMBOL = np.array([chr(b) in "#*$%&|<>" for b in range(256)])
 
 COMMON_WORDS = 64
-#: A word counts as a candidate where it has this share of the words of one language in some piece.
-CANDIDATE_SHARE = 1 / 2000
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 MAX_LANGUAGES = 2000
@@ -92,15 +90,14 @@ def _by_language(langs: pa.Array):
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON_WORDS) -> References:
     """Histograms of every language over all its documents, in two passes.
 
-    The first counts classes and finds the common words: a word counts wherever it makes up
-    CANDIDATE_SHARE of a piece, and the most frequent by that measure are taken. The second counts
-    the chosen words in full. Rows without a text or a language are left out.
+    The first counts classes and every word; a piece sends each of its words once, and Spark combines
+    them before and after the shuffle. The most frequent are taken, the smaller hash on a tie. The
+    second counts all other words together. Rows without a text or a language are left out.
     """
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text IS NOT NULL AND lang IS NOT NULL")
 
     def scan(batches):
-        totals: dict = {}
         for batch in batches:
             for first, part in pieces(batch.column(0)):
                 names, code = _by_language(batch.column(1).slice(first, len(part)))
@@ -109,18 +106,12 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 hashes = word_hashes(words)
                 of = code[words.doc_of()]
                 for k, name in enumerate(names):
-                    for c, n in enumerate(chars[code == k].sum(axis=0).tolist()):
-                        totals[name, False, c] = totals.get((name, False, c), 0) + n
-                    mine = hashes[of == k]
-                    found, n = np.unique(mine, return_counts=True)
-                    often = n >= max(2, len(mine) * CANDIDATE_SHARE)
-                    for h, c in zip(found[often].view(np.int64).tolist(), n[often].tolist()):
-                        totals[name, True, h] = totals.get((name, True, h), 0) + c
-        keys = list(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()),
-             pa.array([k[2] for k in keys], pa.int64()), pa.array([totals[k] for k in keys], pa.int64())],
-            names=["lang", "is_word", "key", "n"])
+                    found, n = np.unique(hashes[of == k], return_counts=True)
+                    keys = np.concatenate([np.arange(CLASSES), found.view(np.int64)])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(keys), pa.string()), pa.array(np.arange(len(keys)) >= CLASSES),
+                         pa.array(keys), pa.array(np.concatenate([chars[code == k].sum(axis=0), n]))],
+                        names=["lang", "is_word", "key", "n"])
 
     sums = (rows.mapInArrow(scan, "lang string, is_word boolean, key long, n long")
             .groupBy("lang", "is_word", "key").agg(F.sum("n").alias("n")))
