@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearline.config import ANCHOR_HORIZONS, PanelConfig, Screen, TreeParams
-from wearline.operators.markov import matrix_powers
+from wearline.operators.markov import matrix_powers, pool_unseen
 from wearline.operators.split import is_test_asset
 from wearline.operators.metrics import best_gain, by_method, grouped_summary, score, weighted_overall
 from wearline.plans import jobs, models as ml, outlook as plan
@@ -260,3 +260,40 @@ def test_by_method_keeps_columns(spark):
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
     out = by_method(df, {"x": F.col("a"), "y": F.col("b")})
     assert out.columns == ["a", "b", "method", "predicted"] and out.count() == 2
+
+
+def test_unseen_strata_take_the_component_chain(spark):
+    counts = spark.createDataFrame([("deck", "a", 7, 7, 3), ("deck", "b", 7, 6, 1)],
+                                   "component string, g string, from_rating int, to_rating int, n long")
+    groups = spark.createDataFrame([("deck", "a"), ("deck", "b"), ("deck", "c")], "component string, g string")
+    out = {tuple(r) for r in pool_unseen(counts, groups, ["component", "g"]).collect()}
+    assert out == {("deck", "a", 7, 7, 3), ("deck", "b", 7, 6, 1), ("deck", "c", 7, 7, 3), ("deck", "c", 7, 6, 1)}
+
+
+def test_ranks_share_places_and_order_nulls_last(spark):
+    listed = spark.createDataFrame(
+        [("A", "deck", 90.0, 4.0), ("B", "deck", 90.0, 4.0), ("C", "deck", 90.0, 4.1), ("D", "deck", None, 3.0),
+         ("E", "culvert", 1.0, 1.0)],
+        "asset_id string, component string, risk_poor_pct double, forecast_conservative double")
+    assert {r.asset_id: r["rank"] for r in plan.with_rank(listed).collect()} == {"A": 1, "B": 1, "C": 3, "D": 4, "E": 1}
+    assert plan.with_rank(listed.where("false")).count() == 0
+
+
+def test_ranking_over_many_slices(spark):
+    import random
+    draw = random.Random(1)
+    rows = [("deck", draw.choice([draw.random() * 100, 50.0]), draw.randint(3, 7), 1) for _ in range(400)]
+    row, = ranking_quality(spark.createDataFrame(rows, "component string, s double, r1 int, n int"), "s", 5.0).collect()
+    poor, good = [s for _, s, r, _ in rows if r <= 5], [s for _, s, r, _ in rows if r > 5]
+    wins = sum((a > b) + (a == b) / 2 for a in poor for b in good)
+    assert row.n == 400 and row.auc == pytest.approx(wins / len(poor) / len(good))
+
+
+def test_regions_keep_assets_without_one(spark):
+    rows = panel(spark, [("A", "5152010", 6.0, 1990.0, None), ("B", "5152010", 6.0, 1990.0, "12")])
+    grid = plan.horizon_grid(plan.starting_points(rows, CFG), constant(4.0), CFG).withColumns(
+        {"feat_total": F.lit(2), "feat_present": F.lit(1)})
+    found = {r.region: r.assets for r in plan.region_summary(grid, CFG).collect()}
+    assert found == {"12": 1, "unknown": 1, None: 2}
+    with pytest.raises(ValueError):
+        plan.region_summary(grid, CFG, at=7)

@@ -22,6 +22,8 @@ from wearline.sources import order_panel as src
 CFG = src.CFG
 BANDS = src.BANDS
 STEPS = {"1": 1, "2": 2, "3": 3, "4": 4}
+#: An age curve needs this many rated rows of known age.
+MIN_ROWS = 10
 MEASURES = ("mae", "rmse", "r2", "within_1")
 KIND = "structure_kind"
 
@@ -78,6 +80,8 @@ def age_curve_baseline(spark, sf_dir):
     counts = rows.groupBy("component", "age_bin", "is_test", "rating").agg(
         F.count(F.lit(1)).alias("n"))
     curve = group_mean("rating", "n", ~F.col("is_test"), ["component", "age_bin"], ["component"])
+    enough = F.sum("n").over(Window.partitionBy("component")) >= MIN_ROWS
+    counts = counts.withColumn("_enough", enough).where("_enough").drop("_enough")
     held_out = counts.withColumn("predicted", curve).where("is_test")
     return places(score(held_out, ["component"], actual="rating", weight="n"), *MEASURES)
 
@@ -90,7 +94,8 @@ AGE_CURVE_SQL = sql(f"""SELECT component, {measures('rating')} FROM (
   LEFT JOIN (SELECT component, avg(rating) AS g FROM ages WHERE NOT held_out GROUP BY ALL)
     USING (component)) GROUP BY component""", "long", extra=f"""ages AS (
   SELECT component, rating, CAST({clip('(year(event_date) - year_built)')} AS INT) AS age_bin,
-    {is_test()} AS held_out FROM long WHERE year_built IS NOT NULL)""")
+    {is_test()} AS held_out FROM long WHERE year_built IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY component) >= 10)""")
 
 
 def metric_suite(spark, sf_dir):
@@ -135,8 +140,7 @@ TRANSITIONS_SQL = sql("""SELECT component, structure_kind, f AS from_rating, t A
 
 def markov_kstep(spark, sf_dir):
     keys = ["component", KIND]
-    source = stratified_events(spark, sf_dir).where(~is_test_asset(CFG))
-    table = transition_table(transition_counts(source, CFG, keys), keys)
+    table = plan.stratified_transitions(stratified_events(spark, sf_dir), CFG, [KIND])
     powers = matrix_powers(table, keys, [1, 2, 4])
     long = powers.select(*keys, "k", "from_rating", F.posexplode("p").alias("to_rating", "p"))
     return places(long, "p")

@@ -1,4 +1,5 @@
-"""Registered queries on trained models. Values depend on the learner, so there is no SQL twin."""
+"""Registered queries on trained models. Their values depend on the learner; a twin supplies the
+row counts and the zeros of the invariants."""
 
 from __future__ import annotations
 
@@ -7,16 +8,19 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from wearline.catalogue.outlook_queries import SCREEN, start_rows
-from wearline.catalogue.panel_queries import panel, static_rows, stored_events
+from wearline.catalogue.benchmark_queries import BENCHMARK_SQL, KIND, STEPS, stratified_events
+from wearline.catalogue.panel_queries import panel, places, static_rows, stored_events
+from wearline.catalogue.sql import band, is_test, sql
 from wearline.config import PanelConfig, TreeParams
-from wearline.functions.numbers import half_even
 from wearline.operators.features import engineer
 from wearline.operators.enrich import attach_static
 from wearline.operators.split import is_test_asset
 from wearline.plans import jobs
 from wearline.plans import models as ml
 from wearline.plans import outlook as plan
+from wearline.plans.benchmark import benchmark as rule_benchmark
 from wearline.plans.benchmark import ranking_quality
+from wearline.functions.ratings import horizon_label
 from wearline.session import once, settle
 from wearline.sources import order_panel as src
 
@@ -53,7 +57,7 @@ def model_point_by_horizon(spark, sf_dir):
 def model_risk(spark, sf_dir):
     """AUC and precision at the top of the risk ranking, on held-out assets."""
     scored = trained(spark, sf_dir)[2].where(F.col("risk_pct").isNotNull())
-    points = scored.groupBy("component", "r1", half_even(F.col("risk_pct"), 1).alias("score")).agg(
+    points = scored.groupBy("component", "r1", F.col("risk_pct").alias("score")).agg(
         F.count(F.lit(1)).alias("n"))
     return ranking_quality(points, "score", CFG.risk_threshold)
 
@@ -68,6 +72,72 @@ def model_quantile(spark, sf_dir):
         F.count_if(F.col("conservative") > F.col("likely")).alias("above_likely"))
 
 
+def model_checks(spark, sf_dir):
+    """Training and held-out pairs per component, and how many forecasts break a rule."""
+    pairs, _, scored = trained(spark, sf_dir)
+    sides = pairs.groupBy("component").agg(
+        F.count_if(is_test_asset(CFG)).alias("n_held_out"), F.count_if(~is_test_asset(CFG)).alias("n_training"))
+
+    def outside(name, top):
+        return F.count_if(~F.coalesce(F.col(name).between(0, top), F.lit(False))).alias(f"{name}_outside")
+
+    broken = scored.groupBy("component").agg(
+        F.count(F.lit(1)).alias("n_scored"), outside("likely", 9), outside("conservative", 9),
+        F.count_if(~F.coalesce(F.col("risk_pct"), F.lit(0.0)).between(0, 100)).alias("risk_pct_outside"),
+        F.count_if(F.col("conservative") > F.col("likely")).alias("above_likely"),
+        F.count_if(~is_test_asset(CFG)).alias("leaks"))
+    return sides.join(broken, "component")
+
+
+CHECKS_SQL = sql(f"""SELECT component, n_held_out, n_training, n_held_out AS n_scored, 0::BIGINT AS likely_outside,
+  0::BIGINT AS conservative_outside, 0::BIGINT AS risk_pct_outside, 0::BIGINT AS above_likely, 0::BIGINT AS leaks
+FROM (SELECT component, count(*) FILTER ({is_test()}) AS n_held_out, count(*) FILTER (NOT {is_test()}) AS n_training
+      FROM pairs GROUP BY component) WHERE n_training >= {CFG.min_pairs} AND n_held_out > 0""", "long")
+
+
+def grid_checks(spark, sf_dir):
+    """Rows of the model grid per component and anchor, and how many break a rule."""
+    rows = model_grid(spark, sf_dir)
+    carried = F.col("horizon") <= CFG.hybrid_years
+    return rows.groupBy("component", "horizon").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(carried & ~F.col("likely").eqNullSafe(F.col("r0"))).alias("not_carried"),
+        F.count_if(~F.coalesce(F.col("likely").between(0, 9), F.lit(False))).alias("outside"),
+        F.count_if(F.col("conservative") > F.col("likely")).alias("above_likely"))
+
+
+GRID_CHECKS_SQL = sql(f"""SELECT component, h::DOUBLE AS horizon, count(*) AS n, 0::BIGINT AS not_carried,
+  0::BIGINT AS outside, 0::BIGINT AS above_likely
+FROM starts CROSS JOIN (VALUES (0), (2), (5), (10), (15), (20)) v(h)
+WHERE component IN (SELECT component FROM pairs WHERE NOT {is_test()} GROUP BY component
+                    HAVING count(*) >= {CFG.min_pairs})
+GROUP BY component, h""", "long")
+
+
+def _all_methods(spark, sf_dir):
+    """The rules and the model on the same held-out pairs, by component and band."""
+    rules = rule_benchmark(stratified_events(spark, sf_dir), CFG, src.BANDS, [KIND], STEPS)
+    scored = trained(spark, sf_dir)[2].withColumn("band", horizon_label(F.col("horizon"), src.BANDS))
+    usable = F.coalesce(F.col("likely").between(0, 9), F.lit(False))
+    model = scored.groupBy("component", "band").agg(
+        F.count_if(usable).alias("model_n"), F.avg(F.abs(F.col("likely") - F.col("r1"))).alias("model_mae"))
+    return places(rules.join(model, ["component", "band"]), "carry_forward_mae", "age_curve_mae", "markov_mae")
+
+
+def benchmark_with_model(spark, sf_dir):
+    return _all_methods(spark, sf_dir)
+
+
+def benchmark_with_model_rules(spark, sf_dir):
+    """The same table without the learner's own error."""
+    return _all_methods(spark, sf_dir).drop("model_mae")
+
+
+WITH_MODEL_SQL = f"""SELECT component, band, carry_forward_mae, age_curve_mae, markov_mae, n AS model_n
+FROM ({BENCHMARK_SQL}) JOIN ({sql(f"SELECT component, {band()} AS band, count(*) AS n FROM pairs WHERE {is_test()} GROUP BY ALL",
+                                  "long")}) USING (component, band)"""
+
+
 def model_watchlist(spark, sf_dir):
     models = trained(spark, sf_dir)[1]
     return plan.watchlist(stored_events(spark, sf_dir), ml.trajectory_scorer(models, CFG), CFG, "deck",
@@ -106,6 +176,10 @@ def combined_forecast(spark, sf_dir):
 
 
 QUERIES = {
+    "model_checks": (model_checks, CHECKS_SQL),
+    "grid_checks": (grid_checks, GRID_CHECKS_SQL),
+    "benchmark_with_model": (benchmark_with_model, None),
+    "benchmark_with_model_rules": (benchmark_with_model_rules, WITH_MODEL_SQL),
     "model_point_by_horizon": (model_point_by_horizon, None),
     "model_risk": (model_risk, None),
     "model_quantile": (model_quantile, None),

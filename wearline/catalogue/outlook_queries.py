@@ -9,8 +9,10 @@ from wearline.catalogue.panel_queries import COVERED, places, stored_events
 from wearline.catalogue.sql import outlook, sql
 from wearline.config import Screen
 from wearline.operators.enrich import with_coverage
+from wearline.plans import jobs
 from wearline.plans import outlook as plan
 from wearline.plans.benchmark import markov_outlook
+from wearline.session import work_path
 from wearline.sources import order_panel as src
 
 CFG = src.CFG
@@ -136,10 +138,10 @@ REGIONS_BODY = f"""SELECT region, count(*) AS assets, count(*) FILTER (poor) AS
   round_even(count(*) FILTER (poor) * 100.0::DOUBLE / count(*), 6) AS poor_pct,
   round_even(avg(share) * 100, 6) AS coverage_pct, count(*) FILTER (is_on) AS on_assets,
   count(*) FILTER (NOT is_on) AS off_assets
-FROM (SELECT asset_id, region, max(feat_present / CAST({len(COVERED)} AS DOUBLE)) AS share,
+FROM (SELECT asset_id, coalesce(region, 'unknown') AS region, max(feat_present / CAST({len(COVERED)} AS DOUBLE)) AS share,
         bool_or(coalesce(on_system = 'ON', false)) AS is_on,
         bool_or(coalesce(horizon = 10 AND r0 BETWEEN 5 AND 7 AND conservative <= 4.2, false)) AS poor
-      FROM grid WHERE region IS NOT NULL GROUP BY asset_id, region)
+      FROM grid GROUP BY asset_id, coalesce(region, 'unknown'))
 GROUP BY ROLLUP (region)"""
 REGIONS_SQL = sql(REGIONS_BODY, "markov", extra=GRID_CTE)
 
@@ -153,7 +155,7 @@ CONFOUND_SQL = sql("""SELECT regions, round_even(c, 5) AS correlation, round_eve
   round_even(highest, 5) AS highest_pct,
   CASE WHEN regions < 8 THEN 'too few' WHEN c <= -0.5 THEN 'confounded' ELSE 'comparable' END AS verdict
 FROM (SELECT count(*) AS regions, corr(coverage_pct, poor_pct) AS c, min(coverage_pct) AS lowest,
-        max(coverage_pct) AS highest FROM regions WHERE region IS NOT NULL)""", "markov",
+        max(coverage_pct) AS highest FROM regions WHERE region <> 'unknown')""", "markov",
                    extra=GRID_CTE + f", regions AS ({REGIONS_BODY.replace(', 6)', ', 12)')})")
 
 
@@ -176,6 +178,32 @@ LEFT JOIN outlook o ON o.component = st.component AND o.structure_kind = coalesc
                 extra=outlook({str(y): max(1, y // 2) for y in range(1, 11)}))
 
 
+def published_watchlist(spark, sf_dir):
+    """The published deck list of on-system assets, read back with its ranks."""
+    root = work_path(spark, "published")
+    path = jobs.publish_watchlist(stored_events(spark, sf_dir), None, rule_scorer(spark, sf_dir, {"10": 2}),
+                                  CFG, "deck", root, screen=SCREEN)
+    return spark.read.parquet(path).withColumn("region", F.col("region").cast("string"))
+
+
+WATCH_SQL = _watch_sql("deck", 5, 7, 4.2, "upper(on_system) LIKE 'ON%'")
+RANKED_SQL = f"""SELECT *, rank() OVER (ORDER BY risk_poor_pct DESC NULLS LAST,
+  forecast_conservative ASC NULLS LAST) AS rank FROM ({WATCH_SQL})"""
+
+
+def published_regions(spark, sf_dir):
+    """The published index of regions, with the number of assets found in each region's pack."""
+    paths = jobs.publish_regions(grid(spark, sf_dir), CFG, work_path(spark, "published"), screen=SCREEN)
+    packs = spark.read.parquet(paths["packs"]).groupBy("region").agg(
+        F.countDistinct("id").alias("pack_assets"))
+    index = spark.read.parquet(paths["index"])
+    return places(index.join(packs, "region", "left"), "poor_pct", "coverage_pct")
+
+
+PUBLISHED_SQL = sql(f"""SELECT *, CASE WHEN region IS NOT NULL THEN assets END AS pack_assets
+FROM ({REGIONS_BODY})""", "markov", extra=GRID_CTE)
+
+
 def forecast_payload(spark, sf_dir):
     """One JSON document per asset with its nested forecasts."""
     rows = plan.asset_payload(grid(spark, sf_dir), CFG, ("adt", "structure_length", "structure_kind"))
@@ -183,7 +211,9 @@ def forecast_payload(spark, sf_dir):
 
 
 QUERIES = {
-    "watchlist_rule": (watchlist_rule, _watch_sql("deck", 5, 7, 4.2, "upper(on_system) LIKE 'ON%'")),
+    "watchlist_rule": (watchlist_rule, WATCH_SQL),
+    "published_watchlist": (published_watchlist, RANKED_SQL),
+    "published_regions": (published_regions, PUBLISHED_SQL),
     "watchlist_region": (watchlist_region,
                          _watch_sql("superstructure", 4, 8, 5.0, "region = '3'", "LIMIT 25")),
     "horizon_grid": (horizon_grid, GRID_SQL),

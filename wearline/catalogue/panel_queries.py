@@ -229,12 +229,11 @@ def qualified_history(spark, sf_dir):
         (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
         & (F.col("l_quantity") >= 45)).select(F.col("l_orderkey").alias("link"))
     history = src.raw_panel(spark, sf_dir)
-    kept = events.qualified_history(history, core, qualifier, key="asset_id", core_key="number",
+    return events.qualified_history(history, core, qualifier, key="asset_id", core_key="number",
                                     link="link")
-    return kept.select("asset_id", "snapshot_no", "raw_date", "deck", "year_built")
 
 
-QUALIFIED_SQL = sql("""SELECT asset_id, snapshot_no, raw_date, deck, year_built FROM raw
+QUALIFIED_SQL = sql("""SELECT * FROM raw
 WHERE trim(asset_id) IN (SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') FROM orders
   JOIN lineitem ON o_orderkey = l_orderkey
   WHERE l_returnflag = 'R' AND l_linestatus = 'F' AND l_quantity >= 45)""", "raw")

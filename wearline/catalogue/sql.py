@@ -212,15 +212,26 @@ seen AS (
   SELECT component, structure_kind, f, t, n / CAST(sum(n) OVER (PARTITION BY component, structure_kind, f) AS DOUBLE) AS p
   FROM train_steps),
 scale(r) AS (SELECT unnest(range(10))),
-strata AS (SELECT DISTINCT component, structure_kind FROM seen),
+strata AS (SELECT DISTINCT component, coalesce(structure_kind, 'unknown') AS structure_kind
+  FROM long LEFT JOIN static USING (asset_id)),
+all_steps AS (
+  SELECT component, structure_kind, f, t, n FROM train_steps
+  UNION ALL
+  SELECT component, g.structure_kind, p.f, p.t, p.n
+  FROM strata g JOIN (SELECT component, f, t, sum(n) AS n FROM train_steps GROUP BY ALL) p USING (component)
+  WHERE NOT EXISTS (SELECT 1 FROM train_steps s
+                    WHERE s.component = g.component AND s.structure_kind = g.structure_kind)),
+covering AS (
+  SELECT component, structure_kind, f, t, n / CAST(sum(n) OVER (PARTITION BY component, structure_kind, f) AS DOUBLE) AS p
+  FROM all_steps),
 m1 AS (
   SELECT g.component, g.structure_kind, CAST(a.r AS INT) AS f, CAST(b.r AS INT) AS t,
-    CASE WHEN EXISTS (SELECT 1 FROM seen s WHERE s.component = g.component
+    CASE WHEN EXISTS (SELECT 1 FROM covering s WHERE s.component = g.component
                       AND s.structure_kind = g.structure_kind AND s.f = a.r)
-         THEN coalesce(seen.p, 0) ELSE CASE WHEN a.r = b.r THEN 1 ELSE 0 END END AS p
+         THEN coalesce(c.p, 0) ELSE CASE WHEN a.r = b.r THEN 1 ELSE 0 END END AS p
   FROM strata g CROSS JOIN scale a CROSS JOIN scale b
-  LEFT JOIN seen ON seen.component = g.component AND seen.structure_kind = g.structure_kind
-    AND seen.f = a.r AND seen.t = b.r)"""
+  LEFT JOIN covering c ON c.component = g.component AND c.structure_kind = g.structure_kind
+    AND c.f = a.r AND c.t = b.r)"""
 
 
 def power(k: int, left: str, right: str = "m1") -> str:

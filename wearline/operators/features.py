@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from wearline.config import PanelConfig
 from wearline.functions.dates import believable_built_year, inspection_date
 from wearline.functions.numbers import clip, ratio
+from wearline.session import small_side
 from wearline.operators.medians import medians_by
 
 
@@ -103,7 +104,7 @@ def category_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Adds ``<column>_idx``; unseen and missing categories have no code."""
-    out = df
+    out, codes = df, small_side(codes)
     for c in columns:
         table = codes.where(F.col("column") == c).select(
             F.col("category").alias(c), F.col("code").cast("double").alias(f"{c}_idx"))

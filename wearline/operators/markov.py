@@ -21,6 +21,17 @@ def transition_counts(events: DataFrame, cfg: PanelConfig, by: Sequence[str]) ->
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def pool_unseen(counts: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Adds, for every group without a transition, the transitions of its whole component.
+
+    ``groups`` holds the distinct groups to cover. Both sides are as small as the code lists that
+    the groups come from.
+    """
+    pooled = counts.groupBy("component", "from_rating", "to_rating").agg(F.sum("n").alias("n"))
+    unseen = groups.select(*by).join(counts.select(*by).distinct(), list(by), "left_anti")
+    return counts.unionByName(unseen.join(pooled, "component").select(*counts.columns))
+
+
 def transition_table(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     """Row-normalised probabilities ``p``."""
     out_of = Window.partitionBy(*by, "from_rating")

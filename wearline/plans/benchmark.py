@@ -15,7 +15,10 @@ from wearline.config import HorizonBands, PanelConfig
 from wearline.functions.dates import age_on
 from wearline.functions.numbers import clip, half_even, lesser
 from wearline.functions.ratings import mass_at_or_below, mean_of, quantile_of
-from wearline.operators.markov import matrix_powers, transition_counts, transition_table
+from wearline.operators.events import by_component
+from wearline.operators.markov import (
+    matrix_powers, pool_unseen, transition_counts, transition_table,
+)
 from wearline.operators.metrics import by_method, group_mean, score
 from wearline.operators.pairs import outcome_counts
 from wearline.operators.split import is_test_asset
@@ -63,6 +66,17 @@ def carry_forward_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBan
     return score(counts, ["component", "band"], predicted="r0", weight="n")
 
 
+def stratified_transitions(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
+                           train_only: bool = True) -> DataFrame:
+    """Transition table by component and stratum. A stratum of the events that training never saw
+    takes the transitions of its whole component."""
+    keys = ["component", *by]
+    source = events.where(~is_test_asset(cfg)) if train_only else events
+    counts = transition_counts(source, cfg, keys)
+    strata = by_component(events, cfg).dropna(subset=list(by)).select(*keys).distinct()
+    return transition_table(pool_unseen(counts, strata, keys), keys)
+
+
 def markov_outlook(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
                    steps: Mapping[str, int], train_only: bool = True) -> DataFrame:
     """(component, by, band, r0) -> distribution, mean, conservative quantile and risk.
@@ -70,8 +84,7 @@ def markov_outlook(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
     Transitions are stratified by ``by``; ``steps`` says how many inspection steps a band spans.
     """
     keys = ["component", *by]
-    source = events.where(~is_test_asset(cfg)) if train_only else events
-    table = transition_table(transition_counts(source, cfg, keys), keys)
+    table = stratified_transitions(events, cfg, by, train_only)
     powers = matrix_powers(table, keys, sorted(set(steps.values())))
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(int(k)).alias("k"))
                       for b, k in steps.items()])
@@ -161,18 +174,26 @@ def ranking_quality(outcomes: DataFrame, rank_by: str, threshold: float,
     """AUC, and precision among the top share by score, of rows that end at or below threshold.
 
     Works on (score, label) counts. Equal scores are taken together: half a win each in the AUC,
-    and their average precision where the cut falls among them.
+    and their average precision where the cut falls among them. Scores are percentages: slices of
+    a tenth are totalled first, so that no task orders all scores of a component.
     """
     poor = F.when(F.col("r1") <= threshold, F.col("n")).otherwise(0)
     points = outcomes.where(F.col(rank_by).isNotNull()).groupBy(
         "component", F.col(rank_by).alias("_s")).agg(
         F.sum("n").alias("_n"), F.sum(poor).alias("_pos"))
     whole = Window.partitionBy("component")
-    above = whole.orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = points.withColumns({
-        "_all": F.sum("_n").over(whole),
-        "_above": F.coalesce(F.sum("_n").over(above), F.lit(0)),
-        "_pos_above": F.coalesce(F.sum("_pos").over(above), F.lit(0)),
+    better = whole.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("component", "_slice").orderBy(F.col("_s").desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    sliced = points.withColumn("_slice", F.floor(F.col("_s") * 10))
+    slices = sliced.groupBy("component", "_slice").agg(
+        F.sum("_n").alias("_n"), F.sum("_pos").alias("_pos")).select(
+        "component", "_slice", F.sum("_n").over(whole).alias("_all"),
+        F.coalesce(F.sum("_n").over(better), F.lit(0)).alias("_n_better"),
+        F.coalesce(F.sum("_pos").over(better), F.lit(0)).alias("_pos_better"))
+    ranked = sliced.join(slices, ["component", "_slice"]).withColumns({
+        "_above": F.col("_n_better") + F.coalesce(F.sum("_n").over(above), F.lit(0)),
+        "_pos_above": F.col("_pos_better") + F.coalesce(F.sum("_pos").over(above), F.lit(0)),
     })
     cut = F.ceil(F.col("_all") * F.lit(share))
     taken = F.greatest(F.lit(0), F.least(F.col("_n"), cut - F.col("_above")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.config import PanelConfig, Screen, TreeParams
+from wearline.config import UNKNOWN, PanelConfig, Screen, TreeParams
 from wearline.operators.clean import clean_panel
 from wearline.operators.enrich import attach_static, with_coverage
 from wearline.operators.events import inspection_events, latest_event
@@ -18,7 +18,7 @@ from wearline.functions.ratings import horizon_label
 from wearline.plans import models as ml
 from wearline.plans.outlook import (
     Scorer, asset_payload, combine_forecasts, horizon_grid, point_forecast, region_summary,
-    starting_points,
+    starting_points, with_rank,
 )
 from wearline.plans.outlook import watchlist as build_watchlist
 from wearline.session import settle
@@ -81,9 +81,9 @@ def publish_watchlist(panel: DataFrame, static: DataFrame | None, scorer: Scorer
                       cfg: PanelConfig, component: str, root: str, region: str | None = None,
                       screen: Screen | None = None) -> str:
     """The list for one component and scope; the screen decides whether off-system assets count."""
-    listed = build_watchlist(panel, scorer, cfg, component, screen, region, ordered=False,
-                             attach=lambda rows: attach_static(rows, static, cfg))
-    return writers.write_watchlist(listed, root)
+    listed = settle(build_watchlist(panel, scorer, cfg, component, screen, region, ordered=False,
+                                    attach=lambda rows: attach_static(rows, static, cfg)), "watchlist")
+    return writers.write_watchlist(with_rank(listed), root)
 
 
 def forecast_grid(panel: DataFrame, static: DataFrame | None, scorer: Scorer, cfg: PanelConfig,
@@ -98,7 +98,8 @@ def publish_regions(grid: DataFrame, cfg: PanelConfig, root: str, scope: str = "
     """Payloads by region and the index summary; scopes never share a folder. The grid is
     written once, so that nothing is scored twice."""
     grid = settle(grid, "grid")
-    payload = asset_payload(grid.where(F.col(cfg.region).isNotNull()), cfg, values)
+    named = grid.withColumn(cfg.region, F.coalesce(cfg.region, F.lit(UNKNOWN)))
+    payload = asset_payload(named, cfg, values)
     packs = writers.write_by_region(payload.withColumnRenamed(cfg.region, "region"), root, scope)
     index = f"{root}/index/scope={scope}"
     region_summary(grid, cfg, screen).write.mode("overwrite").parquet(index)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.config import ANCHOR_HORIZONS, UNKNOWN, PanelConfig, Screen
@@ -19,6 +19,7 @@ from wearline.functions.ratings import (
     at_horizon, decline_flag, forecast_route, rating_band, risk_flag,
 )
 from wearline.functions.text import is_on_system
+from wearline.session import small_side
 from wearline.operators.events import by_component, in_region, latest_event, on_system_rows
 
 
@@ -32,14 +33,14 @@ def rule_scorer(outlook: DataFrame, cfg: PanelConfig, by: Sequence[str],
                 band_of: Column) -> Scorer:
     """Scores by looking up a Markov outlook of bounded size.
 
-    A row without a stratum is looked up as "unknown"; a group that training never saw gets no
-    forecast.
+    A row without a stratum is looked up as "unknown". The outlook is sent to every task if its
+    size allows.
     """
     keys = ["component", "band", "r0", *[f"_by_{c}" for c in by]]
+    table = small_side(outlook.withColumn("r0", F.col("r0").cast("double")).withColumnsRenamed(
+        {c: f"_by_{c}" for c in by}))
 
     def predict(rows: DataFrame) -> DataFrame:
-        table = outlook.withColumn("r0", F.col("r0").cast("double")).withColumnsRenamed(
-            {c: f"_by_{c}" for c in by})
         asked = rows.withColumn("band", band_of).withColumns(
             {f"_by_{c}": F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in by})
         return asked.join(table, keys, "left").drop("band", *[f"_by_{c}" for c in by])
@@ -97,6 +98,23 @@ def watchlist(panel: DataFrame, scorer: Scorer, cfg: PanelConfig, component: str
                           F.col("forecast_conservative").asc_nulls_last(), cfg.asset_id)
 
 
+def with_rank(listed: DataFrame) -> DataFrame:
+    """Adds the place in the list of each component; equal scores share a place.
+
+    Scores are rounded, so there are at most about 10,000 different ones: those are counted and
+    ordered, and the assets themselves are never sorted.
+    """
+    keys = ["component", "risk_poor_pct", "forecast_conservative"]
+    worse = Window.partitionBy("component").orderBy(
+        F.col("risk_poor_pct").desc_nulls_last(), F.col("forecast_conservative").asc_nulls_last()
+    ).rowsBetween(Window.unboundedPreceding, -1)
+    places = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        (F.coalesce(F.sum("_n").over(worse), F.lit(0)) + 1).alias("rank"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return listed.join(places, same[0] & same[1] & same[2]).drop(*[f"_{k}" for k in keys])
+
+
 def horizon_grid(rows: DataFrame, scorer: Scorer, cfg: PanelConfig,
                  anchors: Sequence[int] = ANCHOR_HORIZONS) -> DataFrame:
     """Forecasts at every anchor, long: one row per starting point and horizon.
@@ -192,20 +210,24 @@ def asset_payload(grid: DataFrame, cfg: PanelConfig, values: Sequence[str] = ())
 
 
 def region_summary(grid: DataFrame, cfg: PanelConfig, screen: Screen | None = None,
-                   at: float | None = None) -> DataFrame:
+                   at: float | None = None,
+                   anchors: Sequence[int] = ANCHOR_HORIZONS) -> DataFrame:
     """Per region, and in total: assets, those trending poor, coverage and system split.
 
-    An asset counts once however many components trend poor. The last row (null region) is the
-    total of the same pass.
+    An asset counts once however many components trend poor. Assets without a region form the row
+    "unknown". The last row (null region) is the total of the same pass.
     """
     screen = screen or cfg.screen
     horizon = screen.horizon_years if at is None else at
+    if horizon not in anchors:
+        raise ValueError(f"the grid has no forecasts for {horizon} years")
     poor = (
         (F.col("horizon") == horizon)
         & F.col("r0").between(screen.current_min, screen.current_max)
         & (F.col("conservative") <= screen.poor_threshold)
     )
-    assets = grid.where(F.col(cfg.region).isNotNull()).groupBy(cfg.asset_id, cfg.region).agg(
+    named = grid.withColumn(cfg.region, F.coalesce(cfg.region, F.lit(UNKNOWN)))
+    assets = named.groupBy(cfg.asset_id, cfg.region).agg(
         F.bool_or(F.coalesce(poor, F.lit(False))).alias("poor"),
         F.max(F.col("feat_present") / F.col("feat_total")).alias("share"),
         F.bool_or(F.coalesce(is_on_system(F.col(cfg.on_system)), F.lit(False))).alias("on"))
@@ -223,7 +245,7 @@ def coverage_confound(regions: DataFrame) -> DataFrame:
 
     Written out from co-moments: a region set without any spread has correlation 0.
     """
-    rows = regions.where(F.col("region").isNotNull())
+    rows = regions.where(F.col("region") != UNKNOWN)
     moments = rows.agg(
         F.count(F.lit(1)).alias("regions"),
         F.covar_pop("coverage_pct", "poor_pct").alias("_cov"),

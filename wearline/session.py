@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 # Wide cleaning projections compile to methods the JVM refuses to optimise (over 8,000 bytes of
@@ -90,6 +90,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, limit: int = 50_000) -> DataFrame:
+    """A lookup table marked for broadcast after its rows are counted; left as it is beyond limit."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 _KEPT: dict[tuple[str, str, str], object] = {}
 
 
