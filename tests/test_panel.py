@@ -115,6 +115,19 @@ def test_off_scale_rating_is_refused(spark):
         pairs.outcome_counts(df, CFG, HorizonBands()).collect()
 
 
+def test_half_points_are_counted_on_their_own_scale(spark):
+    df = events.inspection_events(panel(spark, [("A", "3211991", 6.5), ("A", "5152000", 6.0),
+                                                ("A", "7012003", 6.5)]), CFG)
+    deck = replace(CFG, components=("deck",))
+    scale = pairs.occurring_ratings(df, deck)
+    assert scale == [6.0, 6.5]
+    found = pairs.outcome_counts(df, deck, HorizonBands(), ratings=scale).groupBy("r0", "r1").agg(
+        F.sum("n").alias("n")).collect()
+    assert sorted(map(tuple, found)) == [(6.0, 6.5, 1), (6.5, 6.0, 1), (6.5, 6.5, 1)]
+    with pytest.raises(ValueError, match="more than 1"):
+        pairs.occurring_ratings(df, deck, limit=1)
+
+
 def test_cap_is_exact_and_repeatable(spark):
     cfg = replace(CFG, components=("deck", "culvert"))
     _, df = history(spark, assets=4, hot=80)
@@ -250,6 +263,9 @@ def test_medians_match_a_plain_median(spark):
     for g in ("g0", "g1", "g2"):
         assert out[g].x == statistics.median(x for k, x, _ in data if k == g)
         assert out[g].y == 1.5 and out[g].z == 0.0
+    many = spark.range(300_001).select((F.col("id") * F.col("id") % 999_983).cast("double").alias("x"))
+    row, = medians_by(many, [], ["x"]).collect()
+    assert row.x == statistics.median(float(i * i % 999_983) for i in range(300_001))
     row, = medians_by(spark.createDataFrame([(None,)], "x double"), [], ["x"], default=0.0).collect()
     assert row.x == 0.0
     row, = medians_by(spark.createDataFrame([(20.0,), (30.0,)], "x double"), [], ["x"]).collect()

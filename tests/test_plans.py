@@ -86,6 +86,9 @@ def test_point_forecast_routes(spark):
     past, = plan.point_forecast(rows, constant(4.2), CFG, 2018).collect()
     assert (past.method, past.prediction) == ("current", 7.0)
     assert plan.point_forecast(rows.where("asset_id = 'Z'"), constant(4.2), CFG, 2040).count() == 0
+    refusing = plan.Scorer(CFG.components, lambda asked: constant(4.2).predict(asked).withColumn(
+        "likely", F.expr("CASE WHEN horizon > 0 THEN raise_error('asked') END").cast("double")))
+    assert plan.point_forecast(rows, refusing, CFG, 2022).first().method == "carry_forward"
 
 
 def test_watchlist_screen(spark):

@@ -140,7 +140,8 @@ PAIR_COLUMNS = """asset_id, component, strftime(d0, '%Y-%m-%d') AS d0, strftime(
 
 
 def pairs_capped(spark, sf_dir):
-    rows = pairs.cap_pairs(pairs.forward_pairs(stored_events(spark, sf_dir), CFG), CFG)
+    every = settle(pairs.forward_pairs(stored_events(spark, sf_dir), CFG), "pairs")
+    rows = pairs.cap_pairs(every, CFG)
     return rows.select("asset_id", "component", day("d0").alias("d0"), day("d1").alias("d1"), "r0", "r1")
 
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+#: Slices are found in two steps, so a value is compared with about 2 * STEPS cuts.
+STEPS = 32
+SLICES = STEPS * STEPS
 
 
 def value_counts(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -24,17 +26,27 @@ def medians_by(df: DataFrame, by: Sequence[str], values: Sequence[str],
     """The exact median of each value column, one row per group; ``default`` fills all-null ones.
 
     Values are reduced to counts, a quantile sketch of fixed size cuts each group's range into
-    slices, and running slice totals show which slice holds the middle. Only that slice is
-    ordered by value, so neither memory nor one task's work follows the group's size.
+    1,024 slices of about equally many distinct values, and running slice totals show which slice
+    holds the middle. Only that slice is ordered by value, in one task: about a thousandth of the
+    group's distinct values.
     """
     keys = [*by, "name"]
     counts = value_counts(df, by, values)
     cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("value", [i / SLICES for i in range(1, SLICES)], 1000).alias("_cuts"),
+        F.percentile_approx("value", [i / SLICES for i in range(1, SLICES)], 10 * SLICES).alias("_cuts"),
         F.sum("n").alias("_total"),
     )
-    sliced = counts.join(cuts, keys).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
+    cuts = cuts.withColumn("_steps", F.filter("_cuts", lambda c, i: i % STEPS == STEPS - 1))
+
+    def below(cuts_column):
+        return F.size(F.filter(cuts_column, lambda c: c < F.col("value")))
+
+    first = F.col("_step") * STEPS
+    sliced = (
+        counts.join(cuts, keys).withColumn("_step", below("_steps"))
+        .withColumn("_slice", first + below(F.slice("_cuts", first + 1, STEPS - 1)))
+        .drop("_cuts", "_steps", "_step")
+    )
     low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
     before = F.col("_upto") - F.col("_n")
     middle = (

@@ -70,7 +70,8 @@ def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None) -> Dat
     Pairs are ordered by an md5 of their key. The first four hex digits cut them into 65,536
     even slices; counting those finds the slice in which the cap falls. Later slices are dropped
     before anything is ranked, so the ranking sees at most the cap and one slice, spread evenly.
-    Components at or below the cap are kept whole.
+    Components at or below the cap are kept whole. The pairs are read twice, so they should be
+    a settled table.
     """
     cap = cfg.pair_cap if cap is None else cap
     key = F.concat_ws("|", cfg.asset_id, "component", F.col("d0").cast("string"),
@@ -89,35 +90,54 @@ def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None) -> Dat
     return kept.where(F.col("_rank") <= F.col("_room")).drop("_draw", "_slice", "_room", "_rank")
 
 
+def occurring_ratings(events: DataFrame, cfg: PanelConfig, limit: int = 100) -> list[float]:
+    """The distinct ratings of all components in order, for panels that use half points.
+
+    ``outcome_counts`` holds one column per rating and band edge, so more than ``limit`` of them
+    are an error.
+    """
+    narrow = events.select(cfg.asset_id, *[c for c in cfg.components if c in events.columns])
+    found = [r["rating"] for r in by_component(narrow, cfg).select("rating").distinct().limit(
+        limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} different ratings")
+    return sorted(found)
+
+
 def outcome_counts(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
-                   by: Sequence[str] = (), extra_edges: Sequence[float] = ()) -> DataFrame:
+                   by: Sequence[str] = (), extra_edges: Sequence[float] = (),
+                   ratings: Sequence[float] = RATINGS) -> DataFrame:
     """How often a start rated r0 is later rated r1, per component, band and ``by``.
 
     One output row is (component, r0, by, band, span, r1, n). Spans are the bands, cut further at
     ``extra_edges``; ``span`` holds the span's upper edge in years. Per start, the later ratings
     up to each edge are running counts, and a span is the difference of two edges. The counts are
-    summed while still wide, so neither pairs nor starts are ever multiplied.
+    summed while still wide, so neither pairs nor starts are ever multiplied. A rating that is not
+    in ``ratings`` is an error; ``occurring_ratings`` gives the scale of a panel with others.
     """
+    kind = "int" if all(float(r).is_integer() for r in ratings) else "double"
+    scale = [f"CAST({r} AS {kind})" for r in ratings]
+    slots = range(len(scale))
     inner = [e for e in extra_edges if bands.edges[0] < e < bands.max_years]
     edges = sorted({*bands.edges, *inner})
     narrow = events.select(*dict.fromkeys(
         [cfg.asset_id, cfg.event_date, *[c for c in cfg.components if c in events.columns], *by]))
     rated = by_component(narrow.repartition(cfg.asset_id), cfg).selectExpr(
         cfg.asset_id, "component", *by, f"unix_date({cfg.event_date}) AS _day",
-        "CASE WHEN rating IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9) THEN int(rating) "
-        "ELSE raise_error('rating outside the 0..9 scale: ' || rating) END AS r0")
+        f"CASE WHEN rating IN ({', '.join(scale)}) THEN {kind}(rating) "
+        f"ELSE raise_error('rating outside the {min(ratings)}..{max(ratings)} scale: ' || rating) END AS r0")
     counted = rated.selectExpr("component", "r0", *by, *[
-        f"count_if(r0 = {r}) OVER (PARTITION BY {cfg.asset_id}, component ORDER BY _day "
+        f"count_if(r0 = {scale[r]}) OVER (PARTITION BY {cfg.asset_id}, component ORDER BY _day "
         f"RANGE BETWEEN UNBOUNDED PRECEDING AND {whole_days(edge)} FOLLOWING) AS _c{i}_{r}"
-        for i, edge in enumerate(edges) for r in RATINGS])
+        for i, edge in enumerate(edges) for r in slots])
     spans = range(1, len(edges))
     summed = counted.groupBy("component", "r0", *by).agg(*[
-        F.expr(f"sum(_c{i}_{r} - _c{i - 1}_{r}) AS _n{i}_{r}") for i in spans for r in RATINGS])
+        F.expr(f"sum(_c{i}_{r} - _c{i - 1}_{r}) AS _n{i}_{r}") for i in spans for r in slots])
 
     def label(upper):
         return next(name for top, name in zip(bands.edges[1:], bands.labels) if upper <= top)
 
     cells = ", ".join(
-        f"struct('{label(edges[i])}' AS band, {float(edges[i])}D AS span, {r} AS r1, _n{i}_{r} AS n)"
-        for i in spans for r in RATINGS)
+        f"struct('{label(edges[i])}' AS band, {float(edges[i])}D AS span, {scale[r]} AS r1, _n{i}_{r} AS n)"
+        for i in spans for r in slots)
     return summed.selectExpr("component", "r0", *by, f"inline(array({cells}))").where("n > 0")

@@ -20,12 +20,13 @@ from wearline.operators.markov import (
     matrix_powers, pool_unseen, transition_counts, transition_table,
 )
 from wearline.operators.metrics import by_method, group_mean, score
-from wearline.operators.pairs import outcome_counts
+from wearline.operators.pairs import RATINGS, outcome_counts
 from wearline.operators.split import is_test_asset
 
 
 def outcome_table(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
-                  by: Sequence[str] = (), ages: bool = False) -> DataFrame:
+                  by: Sequence[str] = (), ages: bool = False,
+                  ratings: Sequence[float] = RATINGS) -> DataFrame:
     """(component, band, r0, r1, by, n), with ``is_test`` and, if asked, the age bin at t1.
 
     A band is cut at every half year for the age bin: all horizons of such a span round to the
@@ -33,11 +34,12 @@ def outcome_table(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
     """
     starts = events.withColumn("is_test", is_test_asset(cfg))
     if not ages:
-        counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test"])
+        counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test"], ratings=ratings)
         return counts.drop("span")
     starts = starts.withColumn("_age", age_on(F.col(cfg.event_date), F.col(cfg.year_built)))
     cuts = [y + 0.5 for y in range(int(bands.max_years) + 1)]
-    counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test", "_age"], extra_edges=cuts)
+    counts = outcome_counts(starts, cfg, bands, by=[*by, "is_test", "_age"], extra_edges=cuts,
+                            ratings=ratings)
     later = F.ceil(F.col("span") - 0.5)
     keys = ["component", "band", "r0", "r1", *by, "is_test", "age_bin"]
     return counts.withColumn("age_bin", half_even(F.col("_age") + later).cast("int")).groupBy(
@@ -52,9 +54,10 @@ def age_curve(value: str = "r1", weight: str = "n") -> Column:
     ).otherwise(group_mean(value, weight, ~F.col("is_test"), ["component"], ["component"]))
 
 
-def baselines_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands) -> DataFrame:
+def baselines_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
+                      ratings: Sequence[float] = RATINGS) -> DataFrame:
     """Carry-forward and age curve on held-out assets: error measures by component and band."""
-    table = outcome_table(events, cfg, bands, ages=True).withColumn("_age", age_curve())
+    table = outcome_table(events, cfg, bands, ages=True, ratings=ratings).withColumn("_age", age_curve())
     held_out = table.where("is_test")
     scored = by_method(held_out, {"carry_forward": F.col("r0"), "age_curve": F.col("_age")})
     return score(scored, ["component", "band", "method"], weight="n")

@@ -170,10 +170,17 @@ def read_maps(maps: DataFrame, cfg: PanelConfig, years: Column,
 
 def point_forecast(rows: DataFrame, scorer: Scorer, cfg: PanelConfig,
                    target_year: int) -> DataFrame:
-    """The hybrid rule at one calendar year: what is known, carried, or modelled."""
+    """The hybrid rule at one calendar year: what is known, carried, or modelled.
+
+    Only rows beyond the hybrid threshold, or without a date, are scored.
+    """
     gap = F.lit(target_year) - F.year(cfg.event_date)
-    scored = scorer.predict(rows.withColumn("horizon", gap.cast("double")))
+    asked = rows.where(F.col("component").isin(*scorer.components)).withColumn(
+        "horizon", gap.cast("double"))
     years = F.col("horizon")
+    answered = F.coalesce(years <= cfg.hybrid_years, F.lit(False))
+    scored = scorer.predict(asked.where(~answered)).unionByName(
+        asked.where(answered), allowMissingColumns=True)
     method = (
         F.when(years <= 0, "current").when(years <= cfg.hybrid_years, "carry_forward")
         .otherwise("model")

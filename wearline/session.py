@@ -102,8 +102,17 @@ _KEPT: dict[tuple[str, str, str], object] = {}
 
 
 def once(spark: SparkSession, name: str, source: str, build):
-    """Build something once per application and source, such as the settled events of a panel."""
+    """Build something once per application and source, such as the settled events of a panel.
+
+    The source is taken not to change meanwhile; call ``forget`` after it was rewritten.
+    """
     key = (spark.sparkContext.applicationId, name, source)
     if key not in _KEPT:
         _KEPT[key] = build()
     return _KEPT[key]
+
+
+def forget(source: str) -> None:
+    """Builds anew, on the next use, all that was made from a source."""
+    for key in [k for k in _KEPT if k[2] == source]:
+        del _KEPT[key]
