@@ -104,3 +104,11 @@ def test_edges(spark):
     kept = simhash.keep_one(spark.createDataFrame(rows, schema))
     assert kept.columns == ["doc_id", "text", "row", "rank"]
     assert sorted((r.doc_id or 0, r.row) for r in kept.collect()) == [(0, "s"), (1, "r"), (4, "t"), (6, "v")]
+
+
+def test_one_id_on_unrelated_texts(spark):
+    one, two = "alpha beta gamma delta epsilon", "zeta eta theta iota kappa"
+    rows = [(1, one), (1, one), (2, one), (3, two), (5, two), (3, "a first text of its own"), (0, "a first text of its own"),
+            (1, "other words stand here now")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(0, "a first text of its own"), (1, one), (1, "other words stand here now"), (3, two)]

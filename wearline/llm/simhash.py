@@ -186,15 +186,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The documents with one row of each near-duplicate group: that with the smallest id.
 
-    Ties, as between repeated rows, go to the smallest text and then to any one of equal rows. A
-    row without an id cannot be told from others like it and stays.
+    An id that stands on unrelated texts is judged in each of their groups. Ties, as between
+    repeated rows, go to the smallest text and then to any one of equal rows. A row without an id cannot be told from others like it and stays.
     """
     groups = near_duplicates(docs, id_col, text_col, shingle, max_bits)
     kept = (groups.where(F.col(id_col) == F.col("component_id"))
-            .select(F.col(id_col).alias("kept_id")).distinct())
+            .select(F.col(id_col).alias("kept_id"), F.col("fingerprint").alias("kept_print"), "group_print").distinct())
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own = F.col("row").getField(id_col)
-    once = Window.partitionBy(own).orderBy(F.col("row").getField(text_col).asc_nulls_last())
-    chosen = (boxed.join(kept, own == F.col("kept_id"), "left_semi")
+    text = F.col("row").getField(text_col)
+    printed = boxed.where(own.isNotNull()).withColumn(
+        "print", F.lower(F.lpad(F.hex(fingerprint_column(text, shingle)), 16, "0")))
+    once = Window.partitionBy("group_print").orderBy(text.asc_nulls_last())
+    chosen = (printed.join(kept, (own == F.col("kept_id")) & (F.col("print") == F.col("kept_print")))
               .withColumn("rank", F.row_number().over(once)).where("rank = 1").select("row.*"))
     return chosen.unionByName(boxed.where(own.isNull()).select("row.*"))
