@@ -35,3 +35,13 @@ def test_column(spark):
     got = df.withColumn("text", text_column(df.html)).collect()
     assert [r.text for r in got] == ["", LONG, LONG, ""]
     assert df.limit(0).withColumn("text", text_column(df.html)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='has-sidebar'><article><p>{LONG}</p></article><div class='sidebar'><p>{LONG} No.</p></div></div>",
+    f"<div class='no-sidebar'><main><p>{LONG}</p></main></div><div class='related'><article><p>{LONG} No.</p></article></div>",
+    f"<div id='page' class='content no-sidebar'><p>{LONG}</p></div>",
+    f"<article><p>{LONG}</p><div class='content comments'><p>{LONG} No.</p></div></article>",
+])
+def test_layout_wrappers(page):
+    assert main_text(page) == LONG

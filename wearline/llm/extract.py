@@ -35,6 +35,7 @@ SPACES = re.compile(r"\s+")
 #: A tag that the end of the page cuts off.
 CUT_TAG = re.compile(r"<[/!a-zA-Z][^<>]*\Z")
 SIBLING_SHARE = 0.2
+BY_NAME = "name"
 
 
 class Node:
@@ -51,23 +52,31 @@ class Node:
         self.open_p = self if tag == "p" else None if is_block or parent is None else parent.open_p
 
 
-def _unwanted(tag: str, attrs: list, inside_article: bool) -> bool:
+def _layout(value: str) -> bool:
+    """Whether one of the names is that of content and none of boilerplate, as in "content no-sidebar"."""
+    return any(KEPT_NAMES.search(name) and not BOILERPLATE.search(name) for name in value.split())
+
+
+def _unwanted(tag: str, attrs: list, inside_article: bool) -> bool | str:
+    """Whether an element is dropped; BY_NAME if only its class or id says so."""
     if tag in DROPPED or tag == "header" and not inside_article:
         return True
     if tag in ("html", "body", "article", "main"):
         return False
+    by_name, layout = False, False
     for name, value in attrs:
         if name in ("class", "id") and value:
             said = value.lower().replace("_", "-")
             if BOILERPLATE.search(said) and not (tag == "header" and inside_article):
-                return True
+                by_name = BY_NAME
+            layout = layout or not inside_article and _layout(said)
         elif name == "role" and value and value.lower() in ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
             return True
-    return False
+    return False if layout else by_name
 
 
 class Tree(HTMLParser):
@@ -76,6 +85,7 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.articles: list[Node] = []
 
     def _open(self, tags) -> Node | None:
         """The nearest open element of these tags below the nearest enclosing container."""
@@ -102,6 +112,9 @@ class Tree(HTMLParser):
         named = any(k in ("class", "id", "itemprop") and v and KEPT_NAMES.search(v.lower()) for k, v in attrs)
         node = Node(tag, self.at, _unwanted(tag, attrs, self.at.article), named or tag in ("article", "main"))
         self.at.children.append(node)
+        if tag in ("article", "main") and not node.parent.article and not any(
+                k in ("class", "id") and v and BOILERPLATE.search(v.lower().replace("_", "-")) for k, v in attrs):
+            self.articles.append(node)
         self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -125,6 +138,20 @@ def _parse(page: str) -> Node:
     tree = Tree()
     tree.feed(CUT_TAG.sub("", page))
     tree.close()
+    # A wrapper that only its name drops stays if it holds the main element or the only articles.
+    above = []
+    for node in tree.articles:
+        dropped, up = [], node.parent
+        while up is not None:
+            if up.drop:
+                dropped.append(up)
+            up = up.parent
+        above.append((node, dropped))
+    none_left = all(dropped for _, dropped in above)
+    for node, dropped in above:
+        if (none_left or node.tag == "main") and all(d.drop == BY_NAME for d in dropped):
+            for d in dropped:
+                d.drop = False
     return tree.root
 
 
