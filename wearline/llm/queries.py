@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wearline.session import ship
 
-from wearline.llm import bpe, decontaminate, extract, katz, language, pii, quality, simhash, substrings, twins, warc
+from wearline.llm import (
+    bpe, decontaminate, extract, katz, language, phrases, pii, quality, search, simhash, substrings, twins, urls, warc,
+)
 
 
 #: Documents may be long, so an Arrow batch is bounded by bytes as well as by rows.
@@ -98,6 +100,24 @@ def bpe_tokens(spark, sf_dir, ranks_path: str = public_tokenizers.path("byte_bpe
                                 with_ids=False).drop("token_ids")
 
 
+RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"), urls.Rule("block", "example.org", "/en/1"),
+         urls.Rule("allow", "com", "/fr/"), urls.Rule("block", "com", "/de/")]
+
+
+def url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = urls.listed_hosts(pages.select(urls.host_of(F.col("url"))))
+    return urls.judge(pages, RULES, listed).drop("url")
+
+
+def ranked_search(spark, sf_dir):
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def prepared(build):
     """Ships the package to the workers and bounds what one Arrow batch holds."""
     def run(spark, sf_dir):
@@ -123,6 +143,9 @@ PLAIN = {
     "op8_language_model": (language_model, None),
     "op9_language_id": (language_id, None),
     "op10_bpe_tokens": (bpe_tokens, None),
+    "op11_url_filter": (url_filter, twins.url_filter(urls.LISTED_PATTERN)),
+    "op12_ranked_search": (ranked_search, twins.RANKED_SEARCH),
+    "op13_phrase_collocations": (phrase_collocations, twins.PHRASE_COLLOCATIONS),
 }
 
 QUERIES = {name: (prepared(build), statement) for name, (build, statement) in PLAIN.items()}
