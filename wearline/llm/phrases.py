@@ -5,15 +5,18 @@
    id. A bucket also packs its words, as prefixes of suffixes, into groups of a bounded number of
    occurrences. A word above that bound is extended by its next word, and so on (only such prefixes
    are counted over again).
-2. Blocks keep their distinct suffixes of at most five ids with counts, and deal them to the groups.
-3. Every group is built by itself: its sorted suffixes are the leaves of its subtrees, and a phrase's
-   count is the total of the leaves below it.
+2. Pairs of neighbours go the same way, to the group of their first word. Suffixes end before a pair
+   below the least count as well, which leaves few of three or more words; blocks deal these to the
+   groups.
+3. Every group is built by itself: its sorted suffixes of at most five words are the leaves of its
+   subtrees, and a phrase's count is the total of the leaves below it.
 4. Cuts, scores and the containment test are joins on the counted phrases.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -175,51 +178,177 @@ def _leaves(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
     return codes[:, first], total
 
 
-LEAF = "lang string, ids binary, groups binary, codes binary, counts binary"
-LEAVES = pa.schema([("lang", pa.string())] + [(c, pa.binary()) for c in ("ids", "groups", "codes", "counts")])
+class Coded(NamedTuple):
+    """A block's words as codes: 0 for unknown ones, else the place in ids."""
+    ids: np.ndarray         # ids[0] = 0
+    groups: np.ndarray
+    word: np.ndarray        # the code of each word
+    at: np.ndarray          # words that a known one follows in their piece
+    pairs: np.ndarray       # (2, n) codes of the distinct pairs, by group, part and codes
+    which: np.ndarray       # the pair that starts at each of at
+    counts: np.ndarray
+    dealt: tuple            # group and part of each pair
+
+
+def _coded(row, extended, budget: int) -> Coded:
+    answers = row["answers"] or []
+    sent = np.concatenate([unpack(a["ids"]) for a in answers])
+    known = np.flatnonzero(sent)
+    ids = np.concatenate([[0], sent[known]])
+    groups = np.concatenate([[0], np.concatenate([unpack(a["groups"]) for a in answers])[known]])
+    places = unpack(row["places"])
+    breaks = np.unpackbits(unpack(row["breaks"]), count=len(places)).astype(bool)
+    code = np.zeros(len(sent), np.int64)
+    code[known] = np.arange(1, len(known) + 1)
+    word = code[places]
+    at = np.flatnonzero((word[:-1] > 0) & (word[1:] > 0) & ~breaks[1:])
+    keys, which, counts = np.unique(word[at] * len(ids) + word[at + 1], return_inverse=True, return_counts=True)
+    pairs = np.stack([keys // len(ids), keys % len(ids)])
+    group, part = _dealt(ids, groups, pairs, extended, budget)
+    order = np.lexsort((part, group))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return Coded(ids, groups, word, at, pairs[:, order], place[which], counts[order], (group[order], part[order]))
+
+
+def _dealt(ids: np.ndarray, groups: np.ndarray, codes: np.ndarray, extended, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group and part of each suffix: the packed group of its first word, or a part of its longest
+    extended prefix, by the word that follows."""
+    packed = groups[codes[0]]
+    group = (ids[codes[0]] >> 32 << 32) + packed
+    part = np.zeros(len(group), np.int64)
+    left = np.flatnonzero(packed == HOT)
+    for depth, level in enumerate(extended[:len(codes) - 1], 1):
+        prefix = ids[codes[:depth, left]]
+        at = level.find(prefix)
+        left, at, prefix = left[at >= 0], at[at >= 0], prefix[:, at >= 0]
+        if not len(left):
+            break
+        parts = -(-level.counts[at] // budget)
+        key = level.key(prefix)
+        group[left] = (key >> np.uint64(1)).astype(np.int64)
+        part[left] = 1 + (mix(ids[codes[depth, left]].astype(np.uint64) ^ key) % parts.astype(np.uint64)).astype(np.int64)
+    return group, part
 
 
-def _suffixes(batches):
-    """The distinct suffixes of each block, cut at five words, at unknown words and at the piece's end."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            answers = row["answers"] or []
-            ids = np.concatenate([unpack(a["ids"]) for a in answers])
-            groups = np.concatenate([unpack(a["groups"]) for a in answers])
-            places = unpack(row["places"])
-            breaks = np.unpackbits(unpack(row["breaks"]), count=len(places)).astype(bool)
-            known = np.flatnonzero(ids)
-            code = np.zeros(len(ids), np.uint32)
-            code[known] = np.arange(1, len(known) + 1)
-            word = code[places]
-            codes = np.zeros((LONGEST, len(word)), np.uint32)
-            codes[0] = word
-            goes_on = word > 0
-            for k in range(1, LONGEST):
-                goes_on = goes_on[:len(word) - k] & (word[k:] > 0) & ~breaks[k:]
-                codes[k, :len(word) - k] = np.where(goes_on, word[k:], 0)
-            codes, counts = _leaves(codes[:, codes[1] > 0])
-            if len(counts):
-                yield pa.RecordBatch.from_pylist([{
-                    "lang": row["lang"], "ids": pack(ids[known]), "groups": pack(groups[known]), "codes": pack(codes.reshape(-1)),
-                    "counts": pack(counts.astype(np.int64))}], schema=LEAVES)
+GROUP = "lang string, grp long, part long, block long, ids binary, codes binary, counts binary"
+GROUPS = pa.schema([("lang", pa.string()), ("grp", pa.int64()), ("part", pa.int64()), ("block", pa.int64())]
+                   + [(c, pa.binary()) for c in ("ids", "codes", "counts")])
+
+
+def _groups(row, ids, codes, counts, group, part):
+    """One row per group and part, whose suffixes lie together."""
+    if not len(counts):
+        return
+    cuts = np.flatnonzero((np.diff(group) != 0) | (np.diff(part) != 0)) + 1
+    out = []
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(counts)]):
+        used, local = np.unique(codes[:, a:b], return_inverse=True)
+        out.append({"lang": row["lang"], "grp": int(group[a]), "part": int(part[a]), "block": row["block"], "ids": pack(ids[used]),
+                    "codes": pack(local.reshape(-1).astype(np.uint32)), "counts": pack(counts[a:b].astype(np.int64))})
+    yield pa.RecordBatch.from_pylist(out, schema=GROUPS)
+
+
+def _received(table: pa.Table, depth: int):
+    """All ids of a group's rows, and the rows' codes into them and counts."""
+    parts = [(unpack(i.as_py()), unpack(c.as_py()).reshape(depth, -1), unpack(n.as_py()))
+             for i, c, n in zip(table.column("ids"), table.column("codes"), table.column("counts"))]
+    ids = np.unique(np.concatenate([[0], *(p[0] for p in parts)]))
+    return ids, [np.searchsorted(ids, own).astype(np.uint32)[codes] for own, codes, _ in parts], [p[2] for p in parts]
+
+
+def _pairs(shared, budget: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = _coded(row, shared.value, budget)
+                yield from _groups(row, block.ids, block.pairs, block.counts, *block.dealt)
+
+    return run
+
+
+LINK = "block long, grp long, part long, often binary, lang string, phrase array<long>, a long"
+LINKS = pa.schema([("block", pa.int64()), ("grp", pa.int64()), ("part", pa.int64()), ("often", pa.binary()), ("lang", pa.string()),
+                   ("phrase", pa.list_(pa.int64())), ("a", pa.int64())])
+
+
+def _count_pairs(least: int):
+    """Pairs found often enough, and for each block a bit for every pair that it sent."""
+    def run(table: pa.Table) -> pa.Table:
+        ids, codes, counts = _received(table, 2)
+        key = np.concatenate([c[0].astype(np.int64) * len(ids) + c[1] for c in codes])
+        keys, which = np.unique(key, return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, which, np.concatenate(counts))
+        often = total >= least
+        at = np.cumsum([0, *map(len, counts)]).tolist()
+        bits = [pack(np.packbits(often[which[a:b]])) for a, b in zip(at[:-1], at[1:])]
+        n = int(often.sum())
+        pairs = np.stack([ids[keys[often] // len(ids)], ids[keys[often] % len(ids)]], axis=1)
+        none = lambda kind, k: pa.nulls(k, kind)
+        links = pa.table([table.column("block"), table.column("grp"), table.column("part"), pa.array(bits, pa.binary()),
+                          none(pa.string(), len(bits)), none(pa.list_(pa.int64()), len(bits)), none(pa.int64(), len(bits))], schema=LINKS)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * 2), pa.array(pairs.reshape(-1).astype(np.int64)))
+        found = pa.table([none(pa.int64(), n), none(pa.int64(), n), none(pa.int64(), n), none(pa.binary(), n),
+                          pa.array([table.column("lang")[0].as_py()] * n, pa.string()), lists, pa.array(total[often], pa.int64())], schema=LINKS)
+        return pa.concat_tables([links, found])
+
+    return run
+
+
+LEAF = "block long, lang string, ids binary, groups binary, codes binary, counts binary"
+LEAVES = pa.schema([("block", pa.int64()), ("lang", pa.string())] + [(c, pa.binary()) for c in ("ids", "groups", "codes", "counts")])
+
+
+def _suffixes(shared, budget: int):
+    """The distinct suffixes of each block with three words or more, cut at five words and where the
+    next pair is too rare for a candidate."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = _coded(row, shared.value, budget)
+                sizes = np.diff(np.flatnonzero(np.concatenate([[True], _steps(*block.dealt), [True]]))) if len(block.counts) else []
+                often = [np.unpackbits(unpack(x["often"]), count=n) for x, n in zip(row["links"] or [], sizes)]
+                often = np.concatenate(often).astype(bool) if often else np.empty(0, bool)
+                linked = np.zeros(len(block.word), bool)
+                linked[block.at] = often[block.which]
+                codes = np.zeros((LONGEST, len(block.word)), np.uint32)
+                codes[0] = block.word
+                goes_on = np.ones(len(block.word), bool)
+                for k in range(1, LONGEST):
+                    goes_on = goes_on[:len(block.word) - k] & linked[k - 1:len(block.word) - 1]
+                    codes[k, :len(goes_on)] = np.where(goes_on, block.word[k:], 0)
+                codes, counts = _leaves(codes[:, codes[2] > 0])
+                if len(counts):
+                    used, local = np.unique(codes, return_inverse=True)
+                    first = 0 if used[0] == 0 else 1
+                    used = used if not first else np.concatenate([[0], used])
+                    yield pa.RecordBatch.from_pylist([{
+                        "block": row["block"], "lang": row["lang"], "ids": pack(block.ids[used]), "groups": pack(block.groups[used]),
+                        "codes": pack((local.reshape(-1) + first).astype(np.uint32)), "counts": pack(counts.astype(np.int64))}], schema=LEAVES)
+
+    return run
+
+
+def _steps(group: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return (np.diff(group) != 0) | (np.diff(part) != 0)
 
 
 def _unpack_leaves(row):
     counts = unpack(row["counts"])
-    return np.concatenate([[0], unpack(row["ids"])]), unpack(row["codes"]).reshape(LONGEST, -1), counts
+    return unpack(row["ids"]), unpack(row["codes"]).reshape(LONGEST, -1), counts
 
 
 class Extended:
     """Prefixes of one length above the budget: sorted ids, found by exact comparison."""
 
     def __init__(self, prefixes: np.ndarray, counts: np.ndarray):
-        keys = self._key(prefixes)
+        keys = self.key(prefixes)
         order = np.argsort(keys, kind="stable")
         self.keys, self.prefixes, self.counts = keys[order], prefixes[:, order], counts[order]
 
     @staticmethod
-    def _key(ids: np.ndarray) -> np.ndarray:
+    def key(ids: np.ndarray) -> np.ndarray:
         key = np.zeros(ids.shape[1], np.uint64)
         for column in ids:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64))
@@ -229,7 +358,7 @@ class Extended:
         """The position of each prefix, -1 for those that are not extended."""
         if not len(self.keys) or not ids.shape[1]:
             return np.full(ids.shape[1], -1)
-        at = np.minimum(np.searchsorted(self.keys, self._key(ids)), len(self.keys) - 1)
+        at = np.minimum(np.searchsorted(self.keys, self.key(ids)), len(self.keys) - 1)
         return np.where((self.prefixes[:, at] == ids).all(axis=0), at, -1)
 
 
@@ -251,41 +380,14 @@ def _prefix_counts(shared, depth: int):
     return run
 
 
-GROUP = "lang string, grp long, part long, ids binary, codes binary, counts binary"
-GROUPS = pa.schema([("lang", pa.string()), ("grp", pa.int64()), ("part", pa.int64())] + [(c, pa.binary()) for c in ("ids", "codes", "counts")])
-
-
 def _deal(shared, budget: int):
-    """Suffixes by group: the packed one of their first word, or a part of the longest extended prefix."""
     def run(batches):
-        extended = shared.value
         for batch in batches:
             for row in batch.to_pylist():
                 ids, codes, counts = _unpack_leaves(row)
-                packed = np.concatenate([[0], unpack(row["groups"])])[codes[0]]
-                first = ids[codes[0]]
-                group = (first >> 32 << 32) + packed
-                part = np.zeros(len(group), np.int64)
-                left = np.flatnonzero(packed == HOT)
-                for depth, level in enumerate(extended, 1):
-                    prefix = ids[codes[:depth, left]]
-                    at = level.find(prefix)
-                    left, at, prefix = left[at >= 0], at[at >= 0], prefix[:, at >= 0]
-                    if not len(left):
-                        break
-                    parts = -(-level.counts[at] // budget)
-                    key = Extended._key(prefix)
-                    group[left] = (key >> np.uint64(1)).astype(np.int64)
-                    following = ids[codes[depth, left]].astype(np.uint64)
-                    part[left] = 1 + (mix(following ^ key) % parts.astype(np.uint64)).astype(np.int64)
+                group, part = _dealt(ids, unpack(row["groups"]), codes, shared.value, budget)
                 order = np.lexsort((part, group))
-                cuts = np.flatnonzero((np.diff(group[order]) != 0) | (np.diff(part[order]) != 0)) + 1
-                out = []
-                for mine in np.split(order, cuts):
-                    used, local = np.unique(codes[:, mine], return_inverse=True)
-                    out.append({"lang": row["lang"], "grp": int(group[mine[0]]), "part": int(part[mine[0]]), "ids": pack(ids[used]),
-                                "codes": pack(local.reshape(-1).astype(np.uint32)), "counts": pack(counts[mine])})
-                yield pa.RecordBatch.from_pylist(out, schema=GROUPS)
+                yield from _groups(row, ids, codes[:, order], counts[order], group[order], part[order])
 
     return run
 
@@ -294,16 +396,13 @@ PHRASE = pa.schema([("lang", pa.string()), ("phrase", pa.list_(pa.int64())), ("a
 
 
 def _subtrees(shared, least: int):
-    """All phrases of two or more words that a group's leaves count often enough."""
+    """All phrases of three or more words that a group's leaves count often enough."""
     def run(table: pa.Table) -> pa.Table:
-        parts = [(unpack(i.as_py()), unpack(c.as_py()).reshape(LONGEST, -1), unpack(n.as_py()))
-                 for i, c, n in zip(table.column("ids"), table.column("codes"), table.column("counts"))]
-        every = np.unique(np.concatenate([[0], *(p[0] for p in parts)]))
-        codes = np.concatenate([np.searchsorted(every, ids).astype(np.uint32)[c] for ids, c, _ in parts], axis=1)
-        leaves, counts = _leaves(codes, np.concatenate([p[2] for p in parts]))
+        every, codes, counts = _received(table, LONGEST)
+        leaves, counts = _leaves(np.concatenate(codes, axis=1), np.concatenate(counts))
         changes = _changes(leaves)
         out = []
-        for depth in range(1, LONGEST):
+        for depth in range(2, LONGEST):
             first = np.flatnonzero(changes[depth])
             total = np.add.reduceat(counts, first)
             often = (total >= least) & (leaves[depth, first] > 0)
@@ -337,27 +436,38 @@ def count_phrases(docs: DataFrame, least: int = 100, budget: int = GROUP_OCCURRE
                      .groupBy("bucket").applyInArrow(_count_words(least, budget), ANSWER), "phrase-words")
     words = answers.where("id is not null").select("id", "lang", "word", "f", "hot")
     totals = answers.where("id is null and block is null").groupBy("lang").agg(F.sum("f").alias("n"))
-    leaves = settle(rejoin(blocks.select("block", "lang", "places", "breaks"), answers.where("block is not null").select("bucket", "block", "ids", "groups"),
-                           ["ids", "groups"]).mapInArrow(_suffixes, LEAF), "phrase-leaves")
-    hot = words.where("hot").select(F.array("id").alias("phrase"), F.col("f").alias("a"), "lang").collect()
-    extended, counted = [], []
-    for depth in range(1, LONGEST):
-        ids = np.array([r.phrase for r in hot], np.int64).reshape(-1, depth).T
-        extended.append(Extended(ids, np.array([r.a for r in hot], np.int64)))
-        if not hot or depth == LONGEST - 1:
-            break
-        shared = spark.sparkContext.broadcast(extended)
-        hot = (leaves.select("lang", "ids", "codes", "counts").mapInArrow(_prefix_counts(shared, depth), "phrase array<long>, a long")
-               .groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") > budget).collect())
-        if hot:
+    coded = rejoin(blocks.select("block", "lang", "places", "breaks"), answers.where("block is not null").select("bucket", "block", "ids", "groups"),
+                   ["ids", "groups"])
+    hot = words.where("hot").select(F.array("id").alias("phrase"), F.col("f").alias("a")).collect()
+    extended = [_extended(hot, 1)]
+    shared = spark.sparkContext.broadcast(list(extended))
+    links = settle(coded.mapInArrow(_pairs(shared, budget), GROUP).groupBy("lang", "grp", "part").applyInArrow(_count_pairs(least), LINK), "phrase-pairs")
+    by_block = links.where("block is not null").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("grp", "part", "often"))).alias("links"))
+    leaves = settle(coded.join(by_block, "block", "left").mapInArrow(_suffixes(shared, budget), LEAF), "phrase-leaves")
+    pairs = links.where("block is null").select("lang", "phrase", "a")
+    counted = [pairs]
+    for depth in range(2, LONGEST):
+        if depth == 2:
+            more = pairs.where(F.col("a") > budget).select("phrase", "a")
+        else:
+            shared = spark.sparkContext.broadcast(list(extended))
+            more = (leaves.select("ids", "codes", "counts").mapInArrow(_prefix_counts(shared, depth - 1), "phrase array<long>, a long")
+                    .groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") > budget))
+        hot = more.collect() if hot else []
+        extended.append(_extended(hot, depth))
+        if hot and depth > 2:
             whole = spark.createDataFrame([(list(r.phrase), r.a) for r in hot], "phrase array<long>, a long")
-            counted.append(whole.join(words.select("lang", F.col("id")), F.col("phrase")[0] == F.col("id")).select("lang", "phrase", "a"))
+            counted.append(whole.join(words.select("lang", "id"), F.col("phrase")[0] == F.col("id")).select("lang", "phrase", "a"))
     shared = spark.sparkContext.broadcast(extended)
     phrases = (leaves.mapInArrow(_deal(shared, budget), GROUP).groupBy("lang", "grp", "part")
                .applyInArrow(_subtrees(shared, least), "lang string, phrase array<long>, a long"))
     return settle(reduce(DataFrame.unionByName, counted, phrases), "phrases"), words.drop("hot"), totals
 
 
+def _extended(rows, depth: int) -> Extended:
+    return Extended(np.array([r.phrase for r in rows], np.int64).reshape(-1, depth).T, np.array([r.a for r in rows], np.int64))
+
+
 def _exact(column: Column) -> Column:
     return column.cast("decimal(19,0)")
 
