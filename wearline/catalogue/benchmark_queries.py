@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wearline.catalogue.panel_queries import panel, places, stored_events
-from wearline.catalogue.sql import COMPONENTS, band, clip, is_test, measures, outlook, sql
+from wearline.catalogue.sql import COMPONENTS, DIRECT_PAIRS, band, clip, is_test, measures, outlook, sql
 from wearline.functions.dates import age_on
 from wearline.functions.numbers import half_even
 from wearline.config import UNKNOWN
@@ -279,8 +279,8 @@ def backtest_sample(spark, sf_dir):
 
 BACKTEST_SQL = sql(f"""SELECT asset_id, component, strftime(d0, '%Y-%m-%d') AS from_date, r0 AS current,
   round_even(horizon, 1) AS years_ahead, r0 AS predicted, r1 AS actual, r0 - r1 AS error
-FROM pairs WHERE {is_test()} AND CAST('0x' || substr(md5(asset_id || '|' || component || '|'
-  || strftime(d0, '%Y-%m-%d') || '|' || strftime(d1, '%Y-%m-%d')), 1, 8) AS BIGINT) % 1000 < 20""", "long")
+FROM direct WHERE {is_test()} AND CAST('0x' || substr(md5(asset_id || '|' || component || '|'
+  || strftime(d0, '%Y-%m-%d') || '|' || strftime(d1, '%Y-%m-%d')), 1, 8) AS BIGINT) % 1000 < 20""", "events", extra=DIRECT_PAIRS)
 
 
 def weighted_overall(spark, sf_dir):

@@ -20,7 +20,9 @@ from wearline.plans import models as ml
 from wearline.plans import outlook as plan
 from wearline.plans.benchmark import benchmark as rule_benchmark
 from wearline.plans.benchmark import ranking_quality
+from wearline.functions.numbers import clip
 from wearline.functions.ratings import horizon_label
+from wearline.operators import calibration
 from wearline.session import once, settle
 from wearline.sources import order_panel as src
 
@@ -34,7 +36,7 @@ def trained(spark, sf_dir):
         pairs = ml.settled_pairs(jobs.pairs_with_inputs(stored_events(spark, sf_dir), CFG))
         models = ml.fit_all_trajectories(pairs, CFG, PARAMS)
         held_out = pairs.where(is_test_asset(CFG))
-        return pairs, models, settle(ml.predict_by_component(models, held_out, CFG), "scored")
+        return pairs, models, settle(ml.predict_by_component(models, held_out, CFG, detail=True), "scored")
 
     return once(spark, "trajectories", sf_dir, build)
 
@@ -63,15 +65,38 @@ def model_risk(spark, sf_dir):
 
 
 def model_quantile(spark, sf_dir):
-    """How often the later rating falls at or below the conservative forecast."""
+    """How much of the later ratings lies at or below the quantile, from leaves and from class shares.
+
+    A rating k counts as spread over (k - 0.5, k + 0.5], as in the quantile itself.
+    """
     scored = trained(spark, sf_dir)[2]
+
+    def share(name):
+        return F.avg(clip(F.col(name) - F.col("r1") + 0.5, 0.0, 1.0)) * 100
+
     return scored.groupBy("component").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg((F.col("r1") <= F.ceil("conservative")).cast("int")).alias("share_at_or_below"),
+        F.count(F.lit(1)).alias("n"), share("leaf_quantile").alias("leaf_pct_at_or_below"),
+        share("class_quantile").alias("class_pct_at_or_below"),
         F.avg(F.col("likely") - F.col("conservative")).alias("mean_margin"),
         F.count_if(F.col("conservative") > F.col("likely")).alias("above_likely"))
 
 
+def model_calibration(spark, sf_dir):
+    """On held-out assets: the share that turned poor beside each calibrated risk."""
+    scored = trained(spark, sf_dir)[2]
+    return calibration.reliability(scored, ["component"], "risk_pct", F.col("r1") <= CFG.risk_threshold)
+
+
+def model_calibration_error(spark, sf_dir):
+    """Mean distance of forecast and observed share, before and after calibration."""
+    scored = trained(spark, sf_dir)[2]
+    poor = F.col("r1") <= CFG.risk_threshold
+    raw = scored.withColumn("raw_pct", calibration.score_bin(F.col("risk_raw_pct")) + F.lit(0.5))
+    tables = [calibration.calibration_error(calibration.reliability(raw, ["component"], name, poor), ["component"])
+              .withColumn("kind", F.lit(kind)) for kind, name in (("raw", "raw_pct"), ("calibrated", "risk_pct"))]
+    return tables[0].unionByName(tables[1])
+
+
 def model_checks(spark, sf_dir):
     """Training and held-out pairs per component, and how many forecasts break a rule."""
     pairs, _, scored = trained(spark, sf_dir)
@@ -183,6 +208,8 @@ QUERIES = {
     "model_point_by_horizon": (model_point_by_horizon, None),
     "model_risk": (model_risk, None),
     "model_quantile": (model_quantile, None),
+    "model_calibration": (model_calibration, None),
+    "model_calibration_error": (model_calibration_error, None),
     "model_watchlist": (model_watchlist, None),
     "model_grid": (model_grid, None),
     "feature_importance": (feature_importance, None),

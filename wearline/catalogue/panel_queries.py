@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.catalogue.sql import COMPONENTS, clip, degrees, is_test, number, share_bucket, sql
+from wearline.catalogue.sql import COMPONENTS, DIRECT_PAIRS, clip, degrees, is_test, number, share_bucket, sql
 from wearline.config import EXTRACT_COLUMNS, EXTRACT_FEATURES, PLAUSIBLE_RANGES
 from wearline.functions.dates import inspection_date
 from wearline.functions.numbers import half_even
@@ -140,8 +140,7 @@ PAIR_COLUMNS = """asset_id, component, strftime(d0, '%Y-%m-%d') AS d0, strftime(
 
 
 def pairs_capped(spark, sf_dir):
-    every = settle(pairs.forward_pairs(stored_events(spark, sf_dir), CFG), "pairs")
-    rows = pairs.cap_pairs(every, CFG)
+    rows = pairs.cap_pairs(pairs.forward_pairs(stored_events(spark, sf_dir), CFG), CFG)
     return rows.select("asset_id", "component", day("d0").alias("d0"), day("d1").alias("d1"), "r0", "r1")
 
 
@@ -549,7 +548,7 @@ QUERIES = {
     "latest_event": (latest_event, _event_sql("latest")),
     "system_classification": (system_classification, SYSTEM_SQL),
     "region_scope": (region_scope, SCOPE_SQL),
-    "forward_pairs": (forward_pairs, sql(f"SELECT {PAIR_COLUMNS} FROM pairs", "long")),
+    "forward_pairs": (forward_pairs, sql(f"SELECT {PAIR_COLUMNS} FROM direct", "events", extra=DIRECT_PAIRS)),
     "pairs_capped": (pairs_capped, CAPPED_SQL),
     "attach_static": (attach_static, ATTACH_SQL),
     "static_match_rate": (static_match_rate, MATCH_SQL),

@@ -140,6 +140,18 @@ pairs AS (
     AND b.event_date > a.event_date
     AND date_diff('day', a.event_date, b.event_date) <= 7 * 365.25)"""
 
+#: The pairs once more, joined before the ratings are unpivoted, for statements that need no long form.
+DIRECT_PAIRS = f"""joined AS MATERIALIZED (
+  SELECT a.asset_id, a.event_date AS d0, b.event_date AS d1,
+    date_diff('day', a.event_date, b.event_date) / CAST(365.25 AS DOUBLE) AS horizon,
+    {clip('(year(a.event_date) - a.year_built)')} AS age_t0,
+    {', '.join(f'a.{c} AS {c}0, b.{c} AS {c}1' for c in COMPONENTS)}
+  FROM events a JOIN events b ON a.asset_id = b.asset_id
+  WHERE date_diff('day', a.event_date, b.event_date) BETWEEN 1 AND 7 * 365.25),
+direct AS ({' UNION ALL '.join(
+    f"SELECT asset_id, '{c}' AS component, d0, d1, horizon, {c}0 AS r0, {c}1 AS r1, age_t0 FROM joined "
+    f"WHERE {c}0 IS NOT NULL AND {c}1 IS NOT NULL" for c in COMPONENTS)})"""
+
 STATIC = """extract_rows AS (
   SELECT CASE WHEN l_partkey % 10 = 3 THEN 'Z' ELSE '' END || lpad(CAST(l_partkey AS VARCHAR), 9, '0')
       AS asset_id, l_orderkey AS row_order,

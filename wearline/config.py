@@ -65,6 +65,8 @@ class TreeParams:
     forest_trees: int = 100
     max_bins: int = 128
     seed: int = 42
+    # Share of the assets that are kept from the fits and calibrate the risk; 0 leaves it as it is.
+    calibration_share: float = 0.2
 
 
 @dataclass(frozen=True)

@@ -8,14 +8,15 @@ measures use the second form.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from wearline.config import HorizonBands, PanelConfig
 from wearline.functions.dates import age_on, whole_days, years_between
 from wearline.operators.events import by_component
+from wearline.session import settle
 
 RATINGS = range(10)
 
@@ -64,30 +65,63 @@ def forward_pairs(events: DataFrame, cfg: PanelConfig, features: Sequence[str] =
     )
 
 
-def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None) -> DataFrame:
+#: Draws are read as 60-bit numbers; a kept share is cut into this many even slices for ranking.
+DRAWS = 1 << 60
+RANK_SLICES = 4096
+
+
+def settle_counted(pairs: DataFrame, cfg: PanelConfig, name: str = "pairs") -> tuple[DataFrame, dict[str, int]]:
+    """Pairs written once, with their number per component counted by the same job."""
+    seen = Observation()
+    counts = [F.count_if(F.col("component") == c).alias(c) for c in cfg.components]
+    written = settle(pairs.observe(seen, *counts), name)
+    return written, {c: seen.get[c] for c in cfg.components}
+
+
+def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None,
+              sizes: Mapping[str, int] | None = None) -> DataFrame:
     """A repeatable sample of exactly ``cap`` pairs per component, without a global sort.
 
-    Pairs are ordered by an md5 of their key. The first four hex digits cut them into 65,536
-    even slices; counting those finds the slice in which the cap falls. Later slices are dropped
-    before anything is ranked, so the ranking sees at most the cap and one slice, spread evenly.
-    Components at or below the cap are kept whole. The pairs are read twice, so they should be
-    a settled table.
+    The sample is the ``cap`` first pairs by an md5 of their key. With the number of pairs known, the
+    cap-th draw lies below cap / n of all possible draws but for a margin of ten standard deviations.
+    One scan writes the pairs below that; only these are ranked, in even slices. Should they ever be
+    fewer than the cap, the margin is doubled and the scan repeated. Components at or below the cap are
+    kept whole. Without ``sizes`` the pairs are written first and counted meanwhile.
     """
     cap = cfg.pair_cap if cap is None else cap
+    if sizes is None:
+        pairs, sizes = settle_counted(pairs, cfg)
+    over = {c: n for c, n in sizes.items() if n > cap}
+    if not over:
+        return pairs
     key = F.concat_ws("|", cfg.asset_id, "component", F.col("d0").cast("string"),
                       F.col("d1").cast("string"), F.lit(str(cfg.seed)))
-    drawn = pairs.withColumn("_draw", F.md5(key)).withColumn("_slice", F.substring("_draw", 1, 4))
+    number = F.conv(F.substring("_draw", 1, 15), 16, 10).cast("long")
+    drawn = pairs.withColumn("_draw", F.md5(key)).withColumn("_number", number)
+    margin = 10.0
+    while True:
+        limits = {c: min(DRAWS, int(DRAWS * ((cap + margin * (cap + 1) ** 0.5) / n))) for c, n in over.items()}
+        limit = F.lit(None).cast("long")
+        for c, most in limits.items():
+            limit = F.when(F.col("component") == c, F.lit(most)).otherwise(limit)
+        near, found = settle_counted(drawn.withColumn("_limit", limit).where(
+            F.col("_limit").isNull() | (F.col("_number") < F.col("_limit"))), cfg, "near-cap")
+        if all(found[c] >= cap for c in over):
+            break
+        margin *= 2
+    sliced = near.withColumn("_slice", F.coalesce(
+        (F.col("_number") / F.col("_limit") * RANK_SLICES).cast("int"), F.lit(-1)))
     running = Window.partitionBy("component").orderBy("_slice")
     slices = (
-        drawn.groupBy("component", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(running))
-        .where(F.col("_upto") - F.col("_n") < cap)
-        .select("component", "_slice", (cap - (F.col("_upto") - F.col("_n"))).alias("_room"))
+        sliced.groupBy("component", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.sum("_n").over(running) - F.col("_n")).drop("_n")
     )
-    ranking = Window.partitionBy("component", "_slice").orderBy("_draw")
-    kept = drawn.join(slices, ["component", "_slice"]).withColumn(
-        "_rank", F.row_number().over(ranking))
-    return kept.where(F.col("_rank") <= F.col("_room")).drop("_draw", "_slice", "_room", "_rank")
+    place = F.row_number().over(Window.partitionBy("component", "_slice").orderBy("_draw"))
+    ranked = sliced.join(slices, ["component", "_slice"])
+    whole = ranked.where(F.col("_slice") < 0)
+    cut = ranked.where((F.col("_slice") >= 0) & (F.col("_before") < cap)).withColumn("_place", place).where(
+        F.col("_before") + F.col("_place") <= cap).drop("_place")
+    return whole.unionByName(cut).select(*pairs.columns)
 
 
 def occurring_ratings(events: DataFrame, cfg: PanelConfig, limit: int = 100) -> list[float]:

@@ -21,7 +21,7 @@ from wearline.operators.markov import (
 )
 from wearline.operators.metrics import by_method, group_mean, score
 from wearline.operators.pairs import RATINGS, outcome_counts
-from wearline.operators.split import is_test_asset
+from wearline.operators.split import is_test_asset, temporal_events
 
 
 def outcome_table(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
@@ -63,6 +63,13 @@ def baselines_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
     return score(scored, ["component", "band", "method"], weight="n")
 
 
+def baselines_by_split(events: DataFrame, cfg: PanelConfig, bands: HorizonBands, cutoff) -> DataFrame:
+    """The same measures under the split by asset and under that by asset and time, side by side."""
+    by_asset = baselines_by_band(events, cfg, bands).withColumn("split", F.lit("asset"))
+    by_time = baselines_by_band(temporal_events(events, cfg, cutoff), cfg, bands)
+    return by_asset.unionByName(by_time.withColumn("split", F.lit("time")))
+
+
 def carry_forward_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBands) -> DataFrame:
     """The error of assuming no change, over all assets."""
     counts = outcome_counts(events, cfg, bands)
@@ -70,24 +77,24 @@ def carry_forward_by_band(events: DataFrame, cfg: PanelConfig, bands: HorizonBan
 
 
 def stratified_transitions(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
-                           train_only: bool = True) -> DataFrame:
+                           train_only: bool = True, learn: Column | None = None) -> DataFrame:
     """Transition table by component and stratum. A stratum of the events that training never saw
-    takes the transitions of its whole component."""
+    takes the transitions of its whole component. ``learn`` picks other training rows."""
     keys = ["component", *by]
-    source = events.where(~is_test_asset(cfg)) if train_only else events
+    source = events.where(~is_test_asset(cfg) if learn is None else learn) if train_only else events
     counts = transition_counts(source, cfg, keys)
     strata = by_component(events, cfg).dropna(subset=list(by)).select(*keys).distinct()
     return transition_table(pool_unseen(counts, strata, keys), keys)
 
 
 def markov_outlook(events: DataFrame, cfg: PanelConfig, by: Sequence[str],
-                   steps: Mapping[str, int], train_only: bool = True) -> DataFrame:
+                   steps: Mapping[str, int], train_only: bool = True, learn: Column | None = None) -> DataFrame:
     """(component, by, band, r0) -> distribution, mean, conservative quantile and risk.
 
     Transitions are stratified by ``by``; ``steps`` says how many inspection steps a band spans.
     """
     keys = ["component", *by]
-    table = stratified_transitions(events, cfg, by, train_only)
+    table = stratified_transitions(events, cfg, by, train_only, learn)
     powers = matrix_powers(table, keys, sorted(set(steps.values())))
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.lit(int(k)).alias("k"))
                       for b, k in steps.items()])
