@@ -540,6 +540,8 @@ def row_split_check(spark, sf_dir):
 ROW_SPLIT_SQL = sql(f"""SELECT {share_bucket('CAST(snapshot_no AS VARCHAR)')} < 300 AS is_test, count(*) AS n
 FROM panel GROUP BY 1""", "panel")
 
+RANGE_SQL, LOSS_SQL = _range_sql(), _loss_sql()
+
 QUERIES = {
     "clean_panel": (clean_panel, CLEAN_SQL),
     "decode_packed_coordinates": (decode_packed_coordinates, DECODE_SQL),
@@ -569,8 +571,8 @@ QUERIES = {
     "attribute_coverage": (attribute_coverage, COVERAGE_SQL),
     "region_coverage": (region_coverage, REGION_COVERAGE_SQL),
     "panel_shape_gate": (panel_shape_gate, SHAPE_SQL),
-    "value_range_gate": (value_range_gate, _range_sql()),
-    "decode_loss": (decode_loss, _loss_sql()),
+    "value_range_gate": (value_range_gate, RANGE_SQL),
+    "decode_loss": (decode_loss, LOSS_SQL),
     "uniqueness_gate": (uniqueness_gate, _unique_sql()),
     "column_profile": (column_profile, PROFILE_SQL),
     "column_profile_approx": (column_profile_approx, None),

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wearline.catalogue.benchmark_queries import AGE_CTE, BANDS, CFG, KIND, MEASURES, STEPS, stratified_events
-from wearline.catalogue.panel_queries import places, stored_events
+from wearline.catalogue.benchmark_queries import (
+    AGE_CTE, BANDS, CARRY_SQL, CFG, KIND, MEASURES, PERSIST_SQL, STEPS, stratified_events,
+)
+from wearline.catalogue.panel_queries import LOSS_SQL, MATCH_SQL, RANGE_SQL, SHAPE_SQL, day, places, static_rows, stored_events
 from wearline.catalogue.sql import MARKOV, band, is_test, measures, outlook, share_bucket, sql
-from wearline.operators import calibration, pairs, split
+from wearline.operators import calibration, events, pairs, split
+from wearline.operators.metrics import score
 from wearline.operators.pairs import outcome_counts
 from wearline.operators.split import is_test_asset
+from wearline.functions.ratings import horizon_label
 from wearline.plans.benchmark import baselines_by_split, markov_outlook
+from wearline.session import once
+from wearline.sources import order_panel as src
+from wearline.sources.store import write_with_gates
 
 #: Share of the assets, among those for training, that calibrate.
 CALIBRATION_SHARE = 0.2
@@ -112,8 +119,78 @@ LEAKS_SQL = sql(f"""SELECT component, count(*) FILTER (NOT {is_test()} AND d1 <=
 FROM pairs, cut GROUP BY component""", "long", extra=CUT_CTE)
 
 
+def outcomes_off_scale(spark, sf_dir):
+    """Outcomes of a panel where every ninth deck rating is half a point: those count as null."""
+    rows = stored_events(spark, sf_dir).withColumn(
+        "deck", F.when(F.col("snapshot_no") % 9 == 0, F.col("deck") + 0.5).otherwise(F.col("deck")))
+    return outcome_counts(rows, CFG, BANDS, off_scale=True).drop("span")
+
+
+OFF_SCALE_SQL = sql(f"""SELECT component, {band()} AS band, CAST(CASE WHEN r0 = floor(r0) THEN r0 END AS INT) AS r0,
+  CAST(CASE WHEN r1 = floor(r1) THEN r1 END AS INT) AS r1, count(*) AS n
+FROM halved GROUP BY ALL""", "long", extra="""
+halved AS (
+  SELECT p.component, p.horizon,
+    p.r0 + CASE WHEN p.component = 'deck' AND a.snapshot_no % 9 = 0 THEN 0.5 ELSE 0 END AS r0,
+    p.r1 + CASE WHEN p.component = 'deck' AND b.snapshot_no % 9 = 0 THEN 0.5 ELSE 0 END AS r1
+  FROM pairs p JOIN events a ON a.asset_id = p.asset_id AND a.event_date = p.d0
+  JOIN events b ON b.asset_id = p.asset_id AND b.event_date = p.d1)""")
+
+
+def gated_store(spark, sf_dir):
+    """The inspections stored by asset, and the gates taken meanwhile; written once per session."""
+    return once(spark, "store", sf_dir, lambda: write_with_gates(
+        src.raw_panel(spark, sf_dir), static_rows(spark, sf_dir), CFG))
+
+
+def store_shape_gate(spark, sf_dir):
+    out = gated_store(spark, sf_dir)[1].shape
+    return places(out.withColumns({"first_date": day("first_date"), "last_date": day("last_date")}), "inspections_per_asset")
+
+
+def store_range_gate(spark, sf_dir):
+    return places(gated_store(spark, sf_dir)[1].ranges, "outside_pct")
+
+
+def store_decode_loss(spark, sf_dir):
+    return gated_store(spark, sf_dir)[1].decode_loss.withColumn("digits", F.col("digits").cast("bigint"))
+
+
+def store_match_rate(spark, sf_dir):
+    return places(gated_store(spark, sf_dir)[1].match_rate, "match_pct")
+
+
+def store_latest(spark, sf_dir):
+    latest = events.latest_event(gated_store(spark, sf_dir)[0], CFG)
+    return latest.select("asset_id", "snapshot_no", "deck", day("event_date").alias("event_date"), "structure_kind")
+
+
+STORE_LATEST_SQL = sql("""SELECT asset_id, snapshot_no, deck, strftime(event_date, '%Y-%m-%d') AS event_date, structure_kind
+FROM latest LEFT JOIN static USING (asset_id)""", "events", "static")
+
+
+def store_persistence(spark, sf_dir):
+    rows = events.previous_ratings(gated_store(spark, sf_dir)[0], CFG, stored_by_asset=True)
+    return places(score(rows, ["component"], actual="rating", predicted="previous_rating"), *MEASURES)
+
+
+def store_pair_error(spark, sf_dir):
+    """The error of no change over pairs that join inside the buckets."""
+    rows = pairs.forward_pairs(gated_store(spark, sf_dir)[0], CFG, split_above=None)
+    named = rows.withColumn("band", horizon_label(F.col("horizon"), BANDS))
+    return places(score(named, ["component", "band"], predicted="r0"), *MEASURES)
+
+
 QUERIES = {
     "calibrated_rule_risk": (calibrated_rule_risk, CALIBRATED_SQL),
     "temporal_holdout": (temporal_holdout, HOLDOUT_SQL),
     "temporal_leaks": (temporal_leaks, LEAKS_SQL),
+    "outcomes_off_scale": (outcomes_off_scale, OFF_SCALE_SQL),
+    "store_shape_gate": (store_shape_gate, SHAPE_SQL),
+    "store_range_gate": (store_range_gate, f"SELECT * EXCLUDE (median) FROM ({RANGE_SQL})"),
+    "store_decode_loss": (store_decode_loss, LOSS_SQL),
+    "store_match_rate": (store_match_rate, MATCH_SQL),
+    "store_latest": (store_latest, STORE_LATEST_SQL),
+    "store_persistence": (store_persistence, PERSIST_SQL),
+    "store_pair_error": (store_pair_error, CARRY_SQL),
 }

@@ -36,7 +36,7 @@ def missing_columns(df: DataFrame, cfg: PanelConfig) -> dict[str, list[str]]:
     }
 
 
-def clean_panel(df: DataFrame, cfg: PanelConfig) -> DataFrame:
+def clean_panel(df: DataFrame, cfg: PanelConfig, keep_unrated: bool = False) -> DataFrame:
     """Project, coerce, drop rows without any rating, undo packed encodings: one narrow stage.
 
     Numbers are read once and decoded in a second projection, which keeps the expressions short.
@@ -46,7 +46,8 @@ def clean_panel(df: DataFrame, cfg: PanelConfig) -> DataFrame:
     readers = {cfg.asset_id: clean_id, cfg.region: bare_code, **dict.fromkeys(numeric, to_number)}
     typed = df.select(*[readers[c](F.col(c)).alias(c) if c in readers else F.col(c) for c in keep])
     ratings = [c for c in cfg.components if c in keep]
-    typed = typed.dropna(how="all", subset=ratings)
+    if not keep_unrated:
+        typed = typed.dropna(how="all", subset=ratings)
     packed = [c for c in COORDINATE_BOX if c in keep]
     degrees = typed.withColumns({
         c: decode_degrees(F.col(c), west=c == "longitude") for c in packed})

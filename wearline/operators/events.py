@@ -63,10 +63,12 @@ def by_component(df: DataFrame, cfg: PanelConfig, value: str = "rating") -> Data
         F.col(value).isNotNull())
 
 
-def previous_ratings(events: DataFrame, cfg: PanelConfig) -> DataFrame:
-    """Each rating with the same component's previous one; first inspections are left out."""
+def previous_ratings(events: DataFrame, cfg: PanelConfig, stored_by_asset: bool = False) -> DataFrame:
+    """Each rating with the same component's previous one; first inspections are left out.
+
+    Events that are stored by asset are not moved."""
     order = Window.partitionBy(cfg.asset_id, "component").orderBy(cfg.event_date)
-    long = by_component(events.repartition(cfg.asset_id), cfg)
+    long = by_component(events if stored_by_asset else events.repartition(cfg.asset_id), cfg)
     return (
         long.withColumn("previous_rating", F.lag("rating").over(order))
         .where(F.col("previous_rating").isNotNull())

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearline.session import settle
+
 #: Slices are found in two steps, so a value is compared with about 2 * STEPS cuts.
 STEPS = 32
 SLICES = STEPS * STEPS
+#: Distinct values of one group that a task may order.
+BOUND = 100_000
 
 
 def value_counts(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -21,21 +25,15 @@ def value_counts(df: DataFrame, by: Sequence[str], values: Sequence[str]) -> Dat
     return long.groupBy(*by, "name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def medians_by(df: DataFrame, by: Sequence[str], values: Sequence[str],
-               default: float | None = None) -> DataFrame:
-    """The exact median of each value column, one row per group; ``default`` fills all-null ones.
+def _cut_to_slice(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The slice of each group that holds its middle, with the number of rows below the slice.
 
-    Values are reduced to counts, a quantile sketch of fixed size cuts each group's range into
-    1,024 slices of about equally many distinct values, and running slice totals show which slice
-    holds the middle. Only that slice is ordered by value, in one task: about a thousandth of the
-    group's distinct values.
+    A quantile sketch of fixed size cuts the values that are left into 1,024 slices of about equally
+    many distinct ones; running slice totals tell which holds the middle. If the middle falls
+    between two slices, both and all between them stay.
     """
-    keys = [*by, "name"]
-    counts = value_counts(df, by, values)
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("value", [i / SLICES for i in range(1, SLICES)], 10 * SLICES).alias("_cuts"),
-        F.sum("n").alias("_total"),
-    )
+    cuts = state.groupBy(*keys).agg(
+        F.percentile_approx("value", [i / SLICES for i in range(1, SLICES)], 10 * SLICES).alias("_cuts"))
     cuts = cuts.withColumn("_steps", F.filter("_cuts", lambda c, i: i % STEPS == STEPS - 1))
 
     def below(cuts_column):
@@ -43,25 +41,55 @@ def medians_by(df: DataFrame, by: Sequence[str], values: Sequence[str],
 
     first = F.col("_step") * STEPS
     sliced = (
-        counts.join(cuts, keys).withColumn("_step", below("_steps"))
+        state.join(cuts, list(keys)).withColumn("_step", below("_steps"))
         .withColumn("_slice", first + below(F.slice("_cuts", first + 1, STEPS - 1)))
         .drop("_cuts", "_steps", "_step")
     )
-    low, high = F.floor((F.col("_total") + 1) / 2), F.floor(F.col("_total") / 2) + 1
-    before = F.col("_upto") - F.col("_n")
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice"))
+    totals = sliced.groupBy(*keys, "_slice", "_low", "_high", "_before").agg(F.sum("n").alias("_n"))
     middle = (
-        sliced.groupBy(*keys, "_slice", "_total").agg(F.sum("n").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice")))
-        .where((before < high) & (F.col("_upto") >= low))
-        .select(*keys, "_slice", before.alias("_before"))
+        totals.withColumn("_upto", upto)
+        .where((F.col("_upto") - F.col("_n") < F.col("_high")) & (F.col("_upto") >= F.col("_low")))
+        .groupBy(*keys).agg(F.min("_slice").alias("_from"), F.max("_slice").alias("_to"),
+                            F.min(F.col("_upto") - F.col("_n")).alias("_below"))
     )
-    inside = Window.partitionBy(*keys, "_slice").orderBy("value")
-    reached = F.col("_before") + F.sum("n").over(inside)
+    return (
+        sliced.join(middle, list(keys)).where(F.col("_slice").between(F.col("_from"), F.col("_to")))
+        .select(*keys, "value", "n", "_low", "_high", F.col("_below").alias("_before"))
+    )
+
+
+def medians_by(df: DataFrame, by: Sequence[str], values: Sequence[str],
+               default: float | None = None, bound: int = BOUND) -> DataFrame:
+    """The exact median of each value column, one row per group; ``default`` fills all-null ones.
+
+    Values are reduced to counts, written once. While some group has more than ``bound`` distinct values
+    left, every round keeps only the slice that holds the group's middle, about a thousandth; then a
+    task orders at most ``bound`` values of a group. Small groups take no round at all. The counting
+    and the rounds run when the query is built.
+    """
+    keys = [*by, "name"]
+    counts = value_counts(df, by, values)
+    total = F.sum("n").over(Window.partitionBy(*keys))
+    state = settle(counts, "values")
+    sizes = state.groupBy(*keys).agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_left"))
+    largest = sizes.agg(F.max("_left").alias("n")).first()["n"] or 0
+    if largest <= bound:
+        ranked = state.withColumn("_total", total).withColumn("_before", F.lit(0).cast("long"))
+    else:
+        ranked = state.join(sizes.drop("_left"), keys).withColumn("_before", F.lit(0).cast("long"))
+    ranked = ranked.withColumns({"_low": F.floor((F.col("_total") + 1) / 2), "_high": F.floor(F.col("_total") / 2) + 1}).drop("_total")
+    while largest > bound:
+        ranked = settle(_cut_to_slice(ranked, keys), "middle")
+        left = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_left")).agg(F.max("_left").alias("n")).first()["n"]
+        if left >= largest:
+            raise ValueError("values that cannot be cut any further")
+        largest = left
+    reached = F.col("_before") + F.sum("n").over(Window.partitionBy(*keys).orderBy("value"))
     found = (
-        sliced.join(middle, [*keys, "_slice"]).withColumn("_reached", reached)
-        .groupBy(*keys).agg(
-            ((F.min(F.when(F.col("_reached") >= low, F.col("value")))
-              + F.min(F.when(F.col("_reached") >= high, F.col("value")))) / 2).alias("median"))
+        ranked.withColumn("_reached", reached).groupBy(*keys).agg(
+            ((F.min(F.when(F.col("_reached") >= F.col("_low"), F.col("value")))
+              + F.min(F.when(F.col("_reached") >= F.col("_high"), F.col("value")))) / 2).alias("median"))
     )
     wide = [F.max(F.when(F.col("name") == v, F.col("median"))) for v in values]
     if default is not None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from wearline.config import HorizonBands, PanelConfig
@@ -19,40 +19,33 @@ from wearline.operators.events import by_component
 from wearline.session import settle
 
 RATINGS = range(10)
+#: Running counts lie three to a 64-bit number. One of 21 bits is enough for an inspection on every
+#: day of 5,700 years, and an asset has one inspection a day.
+FIELD, PER_WORD = 21, 3
 
 
 def forward_pairs(events: DataFrame, cfg: PanelConfig, features: Sequence[str] = (),
-                  split_above: int = 1024) -> DataFrame:
+                  split_above: int | None = 1024) -> DataFrame:
     """(t0, t1) pairs of one asset within the horizon limit, long over component.
 
     The ratings stay wide through the join: one join serves all components. ``events`` must be
     the output of ``inspection_events``: an asset then meets at most one partner per calendar
     day. Assets with more than ``split_above`` inspections are cut into parts of about that many
     starts, each part joined in its own task against a copy of the asset's later inspections.
-    The events are read several times, so a large set should be settled first.
+    The events are read several times, so a large set should be settled first. Without ``split_above``
+    assets stay whole, and events that are stored by asset join where they lie.
     """
     a, d = cfg.asset_id, cfg.event_date
     ratings = [c for c in cfg.components if c in events.columns]
     carried = [c for c in dict.fromkeys([*features, cfg.year_built])
                if c in events.columns and c not in ratings]
-    large = events.groupBy(F.col(a).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(
-        F.col("_n") > split_above).select(
-        "_large", F.ceil(F.col("_n") / split_above).cast("int").alias("_parts"))
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    start = (
-        events.select(a, F.col(d).alias("d0"), F.struct(*ratings).alias("_r0"), *carried)
-        .join(large, F.col(a) == F.col("_large"), "left")
-        .withColumn("_part", F.pmod(F.hash("d0"), parts)).drop("_large", "_parts")
-    )
-    later = (
-        events.select(F.col(a).alias("_a"), F.col(d).alias("d1"), F.struct(*ratings).alias("_r1"))
-        .join(large, F.col("_a") == F.col("_large"), "left")
-        .select("_a", "d1", "_r1", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_copy"))
-    )
     gap = F.datediff("d1", "d0")
-    limit = whole_days(cfg.max_horizon_years)
-    joined = start.join(later, (F.col(a) == F.col("_a")) & (F.col("_part") == F.col("_copy"))
-                        & (gap > 0) & (gap <= limit))
+    near = (gap > 0) & (gap <= whole_days(cfg.max_horizon_years))
+    start = events.select(a, F.col(d).alias("d0"), F.struct(*ratings).alias("_r0"), *carried)
+    later = events.select(F.col(a).alias("_a"), F.col(d).alias("d1"), F.struct(*ratings).alias("_r1"))
+    same = F.col(a) == F.col("_a")
+    joined = start.join(later, same & near) if split_above is None else _split_join(
+        events, cfg, start, later, same & near, split_above)
     entries = ", ".join(f"struct('{c}' AS component, _r0.`{c}` AS r0, _r1.`{c}` AS r1)"
                         for c in ratings)
     built = F.col(cfg.year_built) if cfg.year_built in carried else F.lit(None).cast("double")
@@ -65,6 +58,21 @@ def forward_pairs(events: DataFrame, cfg: PanelConfig, features: Sequence[str] =
     )
 
 
+def _split_join(events: DataFrame, cfg: PanelConfig, start: DataFrame, later: DataFrame, condition: Column,
+                split_above: int) -> DataFrame:
+    """The join with large assets in parts: each start in one part, each later row in all."""
+    a = cfg.asset_id
+    large = events.groupBy(F.col(a).alias("_large")).agg(F.count(F.lit(1)).alias("_n")).where(
+        F.col("_n") > split_above).select(
+        "_large", F.ceil(F.col("_n") / split_above).cast("int").alias("_parts"))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    start = start.join(large, F.col(a) == F.col("_large"), "left").withColumn(
+        "_part", F.pmod(F.hash("d0"), parts)).drop("_large", "_parts")
+    later = later.join(large, F.col("_a") == F.col("_large"), "left").select(
+        "_a", "d1", "_r1", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_copy"))
+    return start.join(later, condition & (F.col("_part") == F.col("_copy")))
+
+
 #: Draws are read as 60-bit numbers; a kept share is cut into this many even slices for ranking.
 DRAWS = 1 << 60
 RANK_SLICES = 4096
@@ -140,38 +148,52 @@ def occurring_ratings(events: DataFrame, cfg: PanelConfig, limit: int = 100) ->
 
 def outcome_counts(events: DataFrame, cfg: PanelConfig, bands: HorizonBands,
                    by: Sequence[str] = (), extra_edges: Sequence[float] = (),
-                   ratings: Sequence[float] = RATINGS) -> DataFrame:
+                   ratings: Sequence[float] = RATINGS, off_scale: bool = False,
+                   stored_by_asset: bool = False) -> DataFrame:
     """How often a start rated r0 is later rated r1, per component, band and ``by``.
 
     One output row is (component, r0, by, band, span, r1, n). Spans are the bands, cut further at
-    ``extra_edges``; ``span`` holds the span's upper edge in years. Per start, the later ratings
-    up to each edge are running counts, and a span is the difference of two edges. The counts are
-    summed while still wide, so neither pairs nor starts are ever multiplied. A rating that is not
-    in ``ratings`` is an error; ``occurring_ratings`` gives the scale of a panel with others.
+    ``extra_edges``; ``span`` holds the span's upper edge in years. Per asset and component runs one
+    state: how often each rating occurred so far, packed into a few numbers. It is read at every edge
+    of a start, and a span is the difference of two readings. The spans are summed while still wide,
+    so neither pairs nor starts are ever multiplied.
+
+    Ratings that are not in ``ratings`` are counted together as a null rating; those rows come out
+    only with ``off_scale``. ``occurring_ratings`` gives the scale of a panel with others. Events that
+    are stored by asset are not moved.
     """
     kind = "int" if all(float(r).is_integer() for r in ratings) else "double"
     scale = [f"CAST({r} AS {kind})" for r in ratings]
-    slots = range(len(scale))
+    slots, words = range(len(scale) + 1), range(-(-(len(scale) + 1) // PER_WORD))
     inner = [e for e in extra_edges if bands.edges[0] < e < bands.max_years]
     edges = sorted({*bands.edges, *inner})
+    spans = range(1, len(edges))
     narrow = events.select(*dict.fromkeys(
         [cfg.asset_id, cfg.event_date, *[c for c in cfg.components if c in events.columns], *by]))
-    rated = by_component(narrow.repartition(cfg.asset_id), cfg).selectExpr(
+    slot = " ".join(f"WHEN {v} THEN {r}" for r, v in enumerate(scale))
+    rated = by_component(narrow if stored_by_asset else narrow.repartition(cfg.asset_id), cfg).selectExpr(
         cfg.asset_id, "component", *by, f"unix_date({cfg.event_date}) AS _day",
-        f"CASE WHEN rating IN ({', '.join(scale)}) THEN {kind}(rating) "
-        f"ELSE raise_error('rating outside the {min(ratings)}..{max(ratings)} scale: ' || rating) END AS r0")
-    counted = rated.selectExpr("component", "r0", *by, *[
-        f"count_if(r0 = {scale[r]}) OVER (PARTITION BY {cfg.asset_id}, component ORDER BY _day "
-        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {whole_days(edge)} FOLLOWING) AS _c{i}_{r}"
-        for i, edge in enumerate(edges) for r in slots])
-    spans = range(1, len(edges))
-    summed = counted.groupBy("component", "r0", *by).agg(*[
-        F.expr(f"sum(_c{i}_{r} - _c{i - 1}_{r}) AS _n{i}_{r}") for i in spans for r in slots])
+        f"CASE rating {slot} ELSE {len(scale)} END AS _slot").selectExpr(
+        "*", *[f"IF(_slot DIV {PER_WORD} = {w}, shiftleft(1L, {FIELD} * (_slot % {PER_WORD})), 0L) AS _w{w}" for w in words])
+    state = rated.selectExpr("component", "_slot", *by, *[
+        f"sum(_w{w}) OVER (PARTITION BY {cfg.asset_id}, component ORDER BY _day "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {whole_days(edge)} FOLLOWING) AS _c{i}_{w}"
+        for i, edge in enumerate(edges) for w in words])
+    # Every field of a later reading is at least that of an earlier one, so packed numbers subtract.
+    readings = ", ".join(f"struct({i} AS _span, {', '.join(f'_c{i}_{w} - _c{i - 1}_{w} AS _d{w}' for w in words)})" for i in spans)
+    between = state.selectExpr("component", "_slot", *by, f"inline(array({readings}))").where(" OR ".join(f"_d{w} > 0" for w in words))
+    summed = between.groupBy("component", "_slot", "_span", *by).agg(*[
+        F.expr(f"sum(shiftright(_d{r // PER_WORD}, {FIELD * (r % PER_WORD)}) & {(1 << FIELD) - 1}L) AS _n{r}") for r in slots])
 
     def label(upper):
         return next(name for top, name in zip(bands.edges[1:], bands.labels) if upper <= top)
 
-    cells = ", ".join(
-        f"struct('{label(edges[i])}' AS band, {float(edges[i])}D AS span, {scale[r]} AS r1, _n{i}_{r} AS n)"
-        for i in spans for r in slots)
-    return summed.selectExpr("component", "r0", *by, f"inline(array({cells}))").where("n > 0")
+    def rating(r):
+        return scale[r] if r < len(scale) else f"CAST(NULL AS {kind})"
+
+    start = "CASE _slot " + " ".join(f"WHEN {r} THEN {v}" for r, v in enumerate(scale)) + " END AS r0"
+    names = ", ".join(f"{i}, struct('{label(edges[i])}' AS band, {float(edges[i])}D AS span)" for i in spans)
+    cells = ", ".join(f"struct({rating(r)} AS r1, _n{r} AS n)" for r in slots)
+    rows = summed.selectExpr("component", start, *by, f"map({names})[_span] AS _b", f"inline(array({cells}))").where("n > 0").selectExpr(
+        "component", "r0", *by, "_b.band", "_b.span", "r1", "n")
+    return rows if off_scale else rows.where("r0 IS NOT NULL AND r1 IS NOT NULL")
