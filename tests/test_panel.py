@@ -109,10 +109,12 @@ def test_pairs_equal_brute_force(spark, split_above):
     assert sorted(tuple(r) for r in found) == expected
 
 
-def test_off_scale_rating_is_refused(spark):
-    df = events.inspection_events(panel(spark, [("A", "3211991", 6.5), ("A", "5152000", 6.0)]), CFG)
-    with pytest.raises(Exception, match="0..9 scale"):
-        pairs.outcome_counts(df, CFG, HorizonBands()).collect()
+def test_off_scale_ratings_are_rows_of_their_own(spark):
+    df = events.inspection_events(panel(spark, [("A", "3211991", 6.5), ("A", "5152000", 6.0), ("A", "7012003", 11.0)]), CFG)
+    deck = replace(CFG, components=("deck",))
+    found = pairs.outcome_counts(df, deck, HorizonBands(), off_scale=True).groupBy("r0", "r1").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, found.collect()), key=repr) == [(6, None, 1), (None, 6, 1), (None, None, 1)]
+    assert pairs.outcome_counts(df, deck, HorizonBands()).collect() == []
 
 
 def test_half_points_are_counted_on_their_own_scale(spark):

@@ -9,8 +9,8 @@ from wearline.catalogue.benchmark_queries import (
 )
 from wearline.catalogue.panel_queries import LOSS_SQL, MATCH_SQL, RANGE_SQL, SHAPE_SQL, day, places, static_rows, stored_events
 from wearline.catalogue.sql import MARKOV, band, is_test, measures, outlook, share_bucket, sql
-from wearline.operators import calibration, events, pairs, split
-from wearline.operators.metrics import score
+from wearline.operators import calibration, enrich, events, pairs, split
+from wearline.operators.metrics import grouped_summary, score
 from wearline.operators.pairs import outcome_counts
 from wearline.operators.split import is_test_asset
 from wearline.functions.ratings import horizon_label
@@ -181,11 +181,45 @@ def store_pair_error(spark, sf_dir):
     return places(score(named, ["component", "band"], predicted="r0"), *MEASURES)
 
 
+def repeating_groups(spark, sf_dir):
+    """Orders as the assets, their lines as instances of a work and a span group."""
+    rows = src.table(spark, sf_dir, "lineitem").select(
+        src.asset_code(F.col("l_orderkey")).alias("asset_id"), F.col("l_linenumber").alias("instance"),
+        F.when(F.col("l_partkey") % 7 == 0, "open").otherwise(F.year("l_shipdate").cast("string")).alias("work_year"),
+        F.col("l_quantity").cast("int").cast("string").alias("spans"))
+    return enrich.repeating_groups(rows, "asset_id", "instance", {"last_work_year": "work_year"}, {"num_spans_approach": "spans"})
+
+
+GROUPS_SQL = """SELECT lpad(CAST(l_orderkey AS VARCHAR), 9, '0') AS asset_id, count(l_linenumber) AS instances,
+  CAST(max(CASE WHEN l_partkey % 7 <> 0 THEN year(l_shipdate) END) AS DOUBLE) AS last_work_year,
+  CAST(coalesce(sum(CASE WHEN l_linenumber >= 2 THEN CAST(l_quantity AS INT) END), 0) AS DOUBLE) AS num_spans_approach
+FROM lineitem GROUP BY l_orderkey"""
+
+
+def zone_summary(spark, sf_dir):
+    """Ratings and traffic by region and climate zone, the zone by ranges of a district code."""
+    regions = src.table(spark, sf_dir, "region").select(
+        (F.col("r_regionkey") * 50).alias("low"), (F.col("r_regionkey") * 50 + 49).alias("high"), F.col("r_name").alias("zone"))
+    rows = stored_events(spark, sf_dir).withColumn("district", F.col("asset_id").cast("int") % 260)
+    zoned = enrich.attach_zone(rows, "district", regions)
+    return places(grouped_summary(zoned, ["region", "climate_zone"], ["deck", "adt"]), "deck_mean", "deck_median", "adt_mean", "adt_median")
+
+
+ZONE_SQL = sql("""SELECT region, coalesce(r_name, 'unknown') AS climate_zone, round_even(avg(deck), 6) AS deck_mean,
+  round_even(median(deck), 6) AS deck_median, count(deck) AS deck_count, round_even(avg(adt), 6) AS adt_mean,
+  round_even(median(adt), 6) AS adt_median, count(adt) AS adt_count
+FROM events LEFT JOIN (SELECT r_name, r_regionkey FROM region)
+  ON CAST(asset_id AS INT) % 260 BETWEEN r_regionkey * 50 AND r_regionkey * 50 + 49
+WHERE region IS NOT NULL GROUP BY 1, 2""", "events")
+
+
 QUERIES = {
     "calibrated_rule_risk": (calibrated_rule_risk, CALIBRATED_SQL),
     "temporal_holdout": (temporal_holdout, HOLDOUT_SQL),
     "temporal_leaks": (temporal_leaks, LEAKS_SQL),
     "outcomes_off_scale": (outcomes_off_scale, OFF_SCALE_SQL),
+    "repeating_groups": (repeating_groups, GROUPS_SQL),
+    "zone_summary": (zone_summary, ZONE_SQL),
     "store_shape_gate": (store_shape_gate, SHAPE_SQL),
     "store_range_gate": (store_range_gate, f"SELECT * EXCLUDE (median) FROM ({RANGE_SQL})"),
     "store_decode_loss": (store_decode_loss, LOSS_SQL),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline.config import PanelConfig
+from wearline.functions.numbers import clip
 from wearline.functions.text import share_bucket
 from wearline.operators.split import is_test_asset
 from wearline.session import small_side
@@ -28,8 +29,8 @@ def is_calibration_asset(cfg: PanelConfig, share: float, key: Column | None = No
 
 
 def score_bin(score: Column, bins: int = BINS) -> Column:
-    """0..bins - 1 for a percentage; 100 falls in the last bin."""
-    return F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(score * bins / 100))).cast("int")
+    """0..bins - 1 for a percentage, null without one; 100 falls in the last bin."""
+    return clip(F.floor(score * bins / 100), 0, bins - 1).cast("int")
 
 
 def count_bins(df: DataFrame, by: Sequence[str], score: str, poor: Column, weight: Column | None = None,

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearline.config import PanelConfig
+from wearline.config import UNKNOWN, PanelConfig
 from wearline.functions.numbers import to_number
 from wearline.functions.text import clean_id
 from wearline.operators.events import first_row
+from wearline.session import small_side
 
 
 def static_attributes(extract: DataFrame, cfg: PanelConfig, id_column: str,
@@ -73,3 +74,44 @@ def coverage_by(df: DataFrame, by: Sequence[str]) -> DataFrame:
     share = F.col("feat_present") / F.col("feat_total")
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("assets"),
                                (F.avg(share) * 100).alias("coverage_pct"))
+
+
+def repeating_groups(rows: DataFrame, key: str, instance: str, latest: Mapping[str, str],
+                     later: Mapping[str, str]) -> DataFrame:
+    """One row per asset out of the instances of repeating attribute groups.
+
+    ``latest`` names the greatest value over all instances (the last year of work), ``later`` the sum
+    over all but the first instance (approach spans); an asset with one instance has none, that is 0.
+    Values without a number are left out. Partial sums leave one row per asset and map task.
+    """
+    numbered = F.col(instance).cast("int")
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(numbered).alias("instances"),
+        *[F.max(to_number(F.col(c))).alias(name) for name, c in latest.items()],
+        *[F.coalesce(F.sum(F.when(numbered >= 2, to_number(F.col(c)))), F.lit(0.0)).alias(name)
+          for name, c in later.items()])
+
+
+def zone_codes(ranges: DataFrame, low: str = "low", high: str = "high", zone: str = "zone",
+               limit: int = 50_000) -> DataFrame:
+    """(code, zone) of a table of closed code ranges; ranges that share a code are an error.
+
+    The ranges are a lookup table: they may span ``limit`` codes in all.
+    """
+    spans = ranges.where(F.col(low) <= F.col(high))
+    size = spans.agg(F.sum(F.col(high).cast("long") - F.col(low) + 1)).first()[0] or 0
+    if size > limit:
+        raise ValueError(f"the ranges span {size} codes, more than {limit}")
+    codes = spans.select(F.explode(F.sequence(F.col(low).cast("int"), F.col(high).cast("int"))).alias("_code"), F.col(zone).alias(zone))
+    shared = codes.groupBy("_code").count().where("count > 1").orderBy("_code").limit(5).collect()
+    if shared:
+        raise ValueError(f"ranges overlap at code {', '.join(str(r['_code']) for r in shared)}")
+    return codes
+
+
+def attach_zone(df: DataFrame, code: str, ranges: DataFrame, name: str = "climate_zone", **columns) -> DataFrame:
+    """df with the zone of its code as a further grouping key; codes outside all ranges are unknown."""
+    zone = columns.get("zone", "zone")
+    codes = small_side(zone_codes(ranges, **columns).withColumnRenamed(zone, name))
+    number = to_number(F.col(code)).cast("int")
+    return df.join(codes, number == F.col("_code"), "left").drop("_code").withColumn(name, F.coalesce(name, F.lit(UNKNOWN)))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wearline.config import HorizonBands, PanelConfig
 from wearline.functions.dates import age_on, whole_days, years_between
 from wearline.operators.events import by_component
-from wearline.session import settle
+from wearline.session import observed, settle
 
 RATINGS = range(10)
 #: Running counts lie three to a 64-bit number. One of 21 bits is enough for an inspection on every
@@ -83,7 +83,8 @@ def settle_counted(pairs: DataFrame, cfg: PanelConfig, name: str = "pairs") -> t
     seen = Observation()
     counts = [F.count_if(F.col("component") == c).alias(c) for c in cfg.components]
     written = settle(pairs.observe(seen, *counts), name)
-    return written, {c: seen.get[c] for c in cfg.components}
+    found = observed(seen, list(cfg.components))
+    return written, {c: found[c] or 0 for c in cfg.components}
 
 
 def cap_pairs(pairs: DataFrame, cfg: PanelConfig, cap: int | None = None,

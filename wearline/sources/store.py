@@ -20,7 +20,7 @@ from wearline.operators.clean import clean_panel
 from wearline.operators.enrich import attach_static
 from wearline.operators.events import first_row
 from wearline.operators.quality import MAX_OUTSIDE_PCT, MIN_INSPECTIONS
-from wearline.session import work_path
+from wearline.session import observed, work_path
 
 #: A number of degrees is written with this many digits at most; a bigint has no more.
 WIDTHS = range(1, 20)
@@ -59,6 +59,12 @@ def _lost(name: str) -> tuple[Column, Column]:
     return lost, F.length(F.abs(raw).cast("bigint").cast("string"))
 
 
+def _source_names(raw: DataFrame) -> list[str]:
+    ranged = [f"{c}__{kind}" for c in PLAUSIBLE_RANGES if c in raw.columns for kind in ("n", "out")]
+    places = [f"{c}__{kind}" for c in COORDINATE_BOX if c in raw.columns for kind in ("zero", *[f"lost_{w}" for w in WIDTHS])]
+    return ["rows", "parsed_rows", "first_date", "last_date", *ranged, *places]
+
+
 def _source_metrics(raw: DataFrame, cfg: PanelConfig) -> list[Column]:
     date = inspection_date(F.col(cfg.raw_date))
     metrics = [F.count(F.lit(1)).alias("rows"), F.count(date).alias("parsed_rows"),
@@ -103,13 +109,15 @@ def write_with_gates(raw: DataFrame, static: DataFrame | None, cfg: PanelConfig,
     added = [c for c in with_static.columns if c not in events.columns]
     metrics = [F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias("matched") for c in added[:1]]]
     stored = write_by_asset(with_static.observe(joined, *metrics), cfg, path, buckets)
-    return stored, _gates(raw.sparkSession, raw, source.get, assets.get, joined.get)
+    found = [{name: value or 0 for name, value in observed(o, names).items()} for o, names in (
+        (source, _source_names(raw)), (assets, ["assets", "dated_assets", "dated_inspections"]), (joined, ["rows", "matched"]))]
+    return stored, _gates(raw.sparkSession, raw, *found)
 
 
 def _gates(spark: SparkSession, raw: DataFrame, source: dict, assets: dict, joined: dict) -> Gates:
     per = assets["dated_inspections"] / assets["dated_assets"] if assets["dated_assets"] else 0.0
     shape = spark.createDataFrame(
-        [(source["rows"], assets["assets"], source["parsed_rows"], source["first_date"], source["last_date"],
+        [(source["rows"], assets["assets"], source["parsed_rows"], source["first_date"] or None, source["last_date"] or None,
           assets["dated_inspections"], per, per >= MIN_INSPECTIONS)],
         "rows long, assets long, parsed_rows long, first_date date, last_date date, dated_inspections long, "
         "inspections_per_asset double, is_panel boolean")
