@@ -14,6 +14,8 @@ import pyarrow as pa
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 PIECE_BYTES = 4 << 20
+#: Bytes, or words, that are hashed at once: the powers kept for it take 4 MB in a worker.
+HASH_PIECE = 256 << 10
 
 
 def _table(is_word) -> np.ndarray:
@@ -106,13 +108,17 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of base and of its inverse modulo 2**64, at least n of each."""
+    """Powers of base and of its inverse modulo 2**64, at least n of each.
+
+    Those for one piece are kept; a longer word's are made anew, so that it leaves nothing behind.
+    """
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(12, (n - 1).bit_length())
+        size = max(HASH_PIECE + 1, n)
         have = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, b, np.uint64)]), dtype=np.uint64)
                      for b in (np.uint64(base), np.uint64(pow(base, -1, 1 << 64))))
-        _POWERS[base] = have
+        if size == HASH_PIECE + 1:
+            _POWERS[base] = have
     return have
 
 
@@ -130,7 +136,7 @@ def word_hashes(words: Words) -> np.ndarray:
     first = 0
     while first < len(out):
         base = int(words.start[first])
-        last = max(first + 1, int(np.searchsorted(words.end, base + PIECE_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(words.end, base + HASH_PIECE, side="right")))
         start, end = words.start[first:last] - base, words.end[first:last] - base
         data = words.data[base:base + int(end[-1])].astype(np.uint64) + np.uint64(1)
         out[first:last] = mix(_spans(data, start, end, BYTE_BASE) + (end - start).astype(np.uint64))
@@ -151,7 +157,7 @@ def window_hashes(hashes: np.ndarray, starts: np.ndarray, width: int) -> np.ndar
     if not len(starts):
         return np.empty(0, np.uint64)
     out = np.empty(len(starts), np.uint64)
-    step = 1 << 20
+    step = HASH_PIECE // 2
     for a in range(0, len(starts), step):
         part = starts[a:a + step]
         low = int(part[0])
