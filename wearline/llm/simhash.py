@@ -169,6 +169,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = settle(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp")),
                     "simhash")
+    return _grouped(prints, id_col, max_bits)
+
+
+def _grouped(prints: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """near_duplicates for settled rows (id, fp)."""
     distinct = prints.groupBy("fp").agg(F.min("id").alias("first_id"))
     links = settle(near_links(distinct.select("fp"), max_bits), "simhash-links")
     roots = components(links)
@@ -189,15 +194,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An id that stands on unrelated texts is judged in each of their groups. Ties, as between
     repeated rows, go to the smallest text and then to any one of equal rows. A row without an id cannot be told from others like it and stays.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, max_bits)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    printed = settle(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle).alias("fp"), row.alias("row")),
+                     "simhash-rows")
+    groups = _grouped(printed.select("id", "fp"), id_col, max_bits)
     kept = (groups.where(F.col(id_col) == F.col("component_id"))
             .select(F.col(id_col).alias("kept_id"), F.col("fingerprint").alias("kept_print"), "group_print").distinct())
-    boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    own = F.col("row").getField(id_col)
-    text = F.col("row").getField(text_col)
-    printed = boxed.where(own.isNotNull()).withColumn(
-        "print", F.lower(F.lpad(F.hex(fingerprint_column(text, shingle)), 16, "0")))
-    once = Window.partitionBy("group_print").orderBy(text.asc_nulls_last())
-    chosen = (printed.join(kept, (own == F.col("kept_id")) & (F.col("print") == F.col("kept_print")))
+    mine = printed.where("id is not null").withColumn("print", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    once = Window.partitionBy("group_print").orderBy(F.col("row").getField(text_col).asc_nulls_last())
+    chosen = (mine.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("print") == F.col("kept_print")))
               .withColumn("rank", F.row_number().over(once)).where("rank = 1").select("row.*"))
-    return chosen.unionByName(boxed.where(own.isNull()).select("row.*"))
+    return chosen.unionByName(printed.where("id is null").select("row.*"))
