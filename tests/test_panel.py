@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wearline.config import EXTRACT_COLUMNS, HorizonBands, PanelConfig
 from wearline.operators import clean, eav, enrich, events, features, pairs, quality, split
 from wearline.operators.medians import medians_by
-from wearline.sources import readers, writers
+from wearline.sources import order_panel as src, readers, writers
 
 CFG = replace(PanelConfig(), components=("deck",), min_pairs=5)
 
@@ -338,3 +338,15 @@ def test_sources_and_sinks(spark, tmp_path):
     ids.write_text(" 1 \n\n2\n")
     assert sorted(r.asset_id for r in readers.read_id_list(spark, str(ids)).collect()) == ["1", "2"]
     assert sorted(r.asset_id for r in readers.split_id_list(spark, "1, ,2").collect()) == ["1", "2"]
+
+
+def test_pivot_deals_rows_before_sorting(spark, tmp_path):
+    """No task sorts all that a file holds: parts are spread, and values are dealt by asset."""
+    spark.range(60_000).select(F.col("id").alias("p_partkey")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    values = src.attribute_values(spark, str(tmp_path))
+    sizes = [r["count"] for r in values.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 60_000 * 39 and max(sizes) <= 39 * src.PARTS_PER_TASK * 1.2
+    rows = [(1, 2300701, str(i % 7)) for i in range(500)] + [(2, 2300701, None), (2, 2300702, "4"), (None, 2300702, "5"), (3, 99, "1")]
+    wide = eav.pivot_features(spark.createDataFrame(rows, "as_id long, fe_id int, cv_value string"))
+    assert "rebalance" in wide._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {(r.as_id, r.deck, r.superstructure) for r in wide.collect()} == {(1, "6", None), (2, None, "4"), (None, None, "5")}

@@ -15,14 +15,14 @@ def pivot_features(values: DataFrame, features: dict[str, int] | None = None) ->
     """(as_id, fe_id, cv_value) to one row per asset: one aggregation for all attributes.
 
     The id list is explicit, so no extra job looks for pivot values, and the filter on it
-    reaches the scan.
+    reaches the scan. Text maxima are found by sorting, so the rows are first dealt by asset to
+    tasks of an even size: more rows make more tasks. Rebalancing splits what a very large asset
+    fills, and the last aggregation meets at most one row per asset and task.
     """
     features = features or EXTRACT_FEATURES
     ids = list(features.values())
-    wide = (
-        values.where(F.col("fe_id").isin(ids)).groupBy("as_id").pivot("fe_id", ids)
-        .agg(F.max("cv_value"))
-    )
+    dealt = values.where(F.col("fe_id").isin(ids)).withColumn("_deal", F.xxhash64("as_id")).hint("rebalance", "_deal")
+    wide = dealt.groupBy("as_id").pivot("fe_id", ids).agg(F.max("cv_value"))
     return wide.select("as_id", *[F.col(str(i)).alias(name) for name, i in features.items()])
 
 
