@@ -12,7 +12,7 @@ from wearline.operators.clean import clean_panel
 from wearline.operators.medians import medians_by
 from wearline.operators.split import is_test_asset
 from wearline.plans.benchmark import baselines_by_split
-from wearline.sources import order_panel as src
+from wearline.sources import order_panel as src, store
 from wearline.sources.store import write_by_asset, write_with_gates
 
 CFG = PanelConfig()
@@ -192,3 +192,15 @@ def test_outcomes_of_a_store_equal_those_of_events(spark):
 
 def test_cutoff_is_a_day(spark):
     assert isinstance(split.cutoff_day(stored(spark), src.CFG), datetime.date)
+
+
+def test_gate_metrics_read_no_text(spark):
+    """A metric is evaluated by itself: the numbers it counts are read from text before, once a row."""
+    raw = spark.createDataFrame([("1", "01022001", "5", "9999", "12345678", "junk")],
+                                "asset_id string, raw_date string, deck string, year_built string, latitude string, longitude string")
+    metrics = store._source_metrics(raw)
+    assert len(metrics) == 52 and not any("cast" in str(m).lower() for m in metrics)
+    row, = store._with_source_values(raw, CFG).agg(*metrics).collect()
+    assert (row.rows, row.parsed_rows, row.deck__out, row.year_built__out, row.latitude__lost_8, row.longitude__n) == (1, 1, 0, 1, 1, 0)
+    kept, = store._with_source_values(raw.withColumn("latitude", F.lit("30595900")), CFG).agg(*metrics).collect()
+    assert kept.latitude__lost_8 == 0

@@ -50,13 +50,28 @@ class Gates:
     match_rate: DataFrame
 
 
-def _lost(name: str) -> tuple[Column, Column]:
-    """Whether a coordinate decodes to an impossible place, and the digits it is written with."""
-    raw = to_number(F.col(name))
-    degrees = decode_degrees(raw, west=name == "longitude")
-    low, high = COORDINATE_BOX[name]
-    lost = degrees.isNotNull() & ~degrees.between(low, high)
-    return lost, F.length(F.abs(raw).cast("bigint").cast("string"))
+def _value(name: str) -> str:
+    return f"_{name}__value"
+
+
+def _width(name: str) -> str:
+    return f"_{name}__width"
+
+
+def _with_source_values(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
+    """raw with what its gates count: numbers and dates read once, digits of coordinates that are lost.
+
+    A metric is evaluated by itself, so one that reads its number from text would read it once more.
+    A coordinate is lost if it decodes to an impossible place.
+    """
+    numbers = raw.withColumns({
+        "_source_date": inspection_date(F.col(cfg.raw_date)),
+        **{_value(c): to_number(F.col(c)) for c in dict.fromkeys([*PLAUSIBLE_RANGES, *COORDINATE_BOX]) if c in raw.columns}})
+    places = [c for c in COORDINATE_BOX if c in raw.columns]
+    degrees = numbers.withColumns({f"_{c}__degrees": decode_degrees(F.col(_value(c)), west=c == "longitude") for c in places})
+    return degrees.withColumns({
+        _width(c): F.when(~F.col(f"_{c}__degrees").between(*COORDINATE_BOX[c]),
+                          F.length(F.abs(F.col(_value(c))).cast("bigint").cast("string"))) for c in places})
 
 
 def _source_names(raw: DataFrame) -> list[str]:
@@ -65,19 +80,19 @@ def _source_names(raw: DataFrame) -> list[str]:
     return ["rows", "parsed_rows", "first_date", "last_date", *ranged, *places]
 
 
-def _source_metrics(raw: DataFrame, cfg: PanelConfig) -> list[Column]:
-    date = inspection_date(F.col(cfg.raw_date))
+def _source_metrics(raw: DataFrame) -> list[Column]:
+    """Metrics of the rows that ``_with_source_values`` gives."""
+    date = F.col("_source_date")
     metrics = [F.count(F.lit(1)).alias("rows"), F.count(date).alias("parsed_rows"),
                F.min(date).alias("first_date"), F.max(date).alias("last_date")]
     for c, (low, high) in PLAUSIBLE_RANGES.items():
         if c in raw.columns:
-            value = to_number(F.col(c))
+            value = F.col(_value(c))
             metrics += [F.count(value).alias(f"{c}__n"), F.count_if(~value.between(low, high)).alias(f"{c}__out")]
     for c in COORDINATE_BOX:
         if c in raw.columns:
-            lost, width = _lost(c)
-            metrics.append(F.count_if(to_number(F.col(c)) == 0).alias(f"{c}__zero"))
-            metrics += [F.count_if(lost & (width == w)).alias(f"{c}__lost_{w}") for w in WIDTHS]
+            metrics.append(F.count_if(F.col(_value(c)) == 0).alias(f"{c}__zero"))
+            metrics += [F.count_if(F.col(_width(c)) == w).alias(f"{c}__lost_{w}") for w in WIDTHS]
     return metrics
 
 
@@ -92,7 +107,7 @@ def write_with_gates(raw: DataFrame, static: DataFrame | None, cfg: PanelConfig,
     written, before decoding.
     """
     source, assets, joined = Observation(), Observation(), Observation()
-    seen = raw.observe(source, *_source_metrics(raw, cfg))
+    seen = _with_source_values(raw, cfg).observe(source, *_source_metrics(raw))
     ratings = [c for c in cfg.components if c in raw.columns]
     rows = clean_panel(seen, cfg, keep_unrated=True).withColumns({
         cfg.event_date: inspection_date(F.col(cfg.raw_date)),
