@@ -6,11 +6,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from wearline.config import HorizonBands, PanelConfig
-from wearline.operators import calibration, enrich, events, pairs, quality, split
+from wearline.config import HorizonBands, PanelConfig, TreeParams
+from wearline.operators import calibration, enrich, events, features, medians, pairs, quality, split
 from wearline.operators.clean import clean_panel
 from wearline.operators.medians import medians_by
 from wearline.operators.split import is_test_asset
+from wearline.plans import models as ml
 from wearline.plans.benchmark import baselines_by_split
 from wearline.sources import order_panel as src, store
 from wearline.sources.store import write_by_asset, write_with_gates
@@ -204,3 +205,20 @@ def test_gate_metrics_read_no_text(spark):
     assert (row.rows, row.parsed_rows, row.deck__out, row.year_built__out, row.latitude__lost_8, row.longitude__n) == (1, 1, 0, 1, 1, 0)
     kept, = store._with_source_values(raw.withColumn("latitude", F.lit("30595900")), CFG).agg(*metrics).collect()
     assert kept.latitude__lost_8 == 0
+
+
+def test_subset_medians_come_from_one_pass(spark, monkeypatch):
+    data = [(i, float(i * 7919 % 5003) if i % 11 else None, i % 3, float("nan") if i % 5 == 0 else float(i % 4)) for i in range(4000)]
+    df = spark.createDataFrame(data, "i long, x double, k int, y double")
+    subsets = {"all": F.lit(True), "odd": F.col("i") % 2 == 1, "k1": F.col("k") == 1, "none": F.col("i") < 0, "blank": F.lit(None).cast("boolean")}
+    got = {r.subset: (r.x, r.y) for r in medians.subset_medians(df, subsets, ["x", "y"], default=0.0, bound=100).collect()}
+    want = {n: tuple(medians_by(df.where(c), [], ["x", "y"]).first()) for n, c in subsets.items() if n not in ("none", "blank")}
+    assert got == want
+    monkeypatch.setattr(medians, "FEW_GROUPS", 0)
+    assert {r.subset: (r.x, r.y) for r in medians.subset_medians(df, subsets, ["x", "y"], default=0.0, bound=100).collect()} == want
+    passes = []
+    monkeypatch.setattr(ml, "impute_values", lambda *a: passes.append(a) or features.impute_values(*a))
+    rows = spark.createDataFrame([(f"a{i}", float(i % 9), float(i % 5), float(i)) for i in range(120)],
+                                 "asset_id string, deck double, culvert double, adt double")
+    models, _ = ml.fit_all_attributes(rows, CFG, TreeParams(rounds=1, depth=2), kinds=("linear",))
+    assert set(models) == {"deck", "culvert"} and len(passes) == 1
