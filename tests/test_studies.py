@@ -6,6 +6,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from wearline import session
+from wearline.catalogue import model_queries
 from wearline.config import HorizonBands, PanelConfig, TreeParams
 from wearline.operators import calibration, enrich, events, features, medians, pairs, quality, split
 from wearline.operators.clean import clean_panel
@@ -222,3 +224,33 @@ def test_subset_medians_come_from_one_pass(spark, monkeypatch):
                                  "asset_id string, deck double, culvert double, adt double")
     models, _ = ml.fit_all_attributes(rows, CFG, TreeParams(rounds=1, depth=2), kinds=("linear",))
     assert set(models) == {"deck", "culvert"} and len(passes) == 1
+
+
+def test_attributes_are_measured_at_full_size(spark, monkeypatch):
+    sizes = []
+
+    def fit(rows, cfg, params):
+        sizes.append(params)
+        return {}, spark.createDataFrame([("deck", "linear", 0.5, 0.5, 0.5, 0.5)],
+                                         "component string, model_type string, mae double, rmse double, r2 double, within_1 double")
+
+    monkeypatch.setattr(model_queries.ml, "fit_all_attributes", fit)
+    monkeypatch.setattr(model_queries, "features", lambda s, d: spark.range(1).toDF("id"))
+    assert {r.component for r in model_queries.attributes_only(spark, "/no/such/tables").collect()} == {"deck", "all"}
+    assert sizes == [TreeParams()]
+
+
+def test_rounds_are_checkpointed(spark, monkeypatch):
+    used = []
+    monkeypatch.setattr(ml, "with_checkpoints", lambda s: used.append(session.with_checkpoints(s)))
+    rows = spark.createDataFrame([(f"a{i}", float(i % 9), float(i % 7)) for i in range(120)], "asset_id string, deck double, adt double")
+    models, metrics = ml.fit_all_attributes(rows, CFG, TreeParams(rounds=12, depth=2), kinds=("boosted",))
+    assert used and spark.sparkContext.getCheckpointDir() is not None
+    assert models["deck"].models["boosted"].getNumTrees == 12 and metrics.count() == 1
+
+
+def test_side_by_side_keeps_the_order():
+    assert session.side_by_side([lambda i=i: i for i in range(9)], 4) == list(range(9))
+    assert session.side_by_side([], 4) == []
+    with pytest.raises(ZeroDivisionError):
+        session.side_by_side([lambda: 1, lambda: 1 // 0], 2)
