@@ -4,12 +4,16 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from wearline.catalogue import model_queries
 from wearline.config import ANCHOR_HORIZONS, PanelConfig, Screen, TreeParams
+from wearline.functions import trees
+from wearline.operators.calibration import side_of
 from wearline.operators.markov import matrix_powers, pool_unseen
 from wearline.operators.split import is_test_asset
 from wearline.operators.metrics import best_gain, by_method, grouped_summary, score, weighted_overall
 from wearline.plans import jobs, models as ml, outlook as plan
 from wearline.plans.benchmark import catch_rates, ranking_quality
+from wearline.session import settle
 
 CFG = replace(PanelConfig(), components=("deck",))
 SMALL = TreeParams(rounds=2, depth=3, forest_trees=3)
@@ -300,3 +304,84 @@ def test_regions_keep_assets_without_one(spark):
     assert found == {"12": 1, "unknown": 1, None: 2}
     with pytest.raises(ValueError):
         plan.region_summary(grid, CFG, at=7)
+
+
+def scored_by(model, rows, how):
+    out = getattr(model, how)(rows, 0.25, True)
+    names = ["asset_id", "d0", "d1", "likely", "leaf_quantile", "class_quantile", "risk_raw_pct"]
+    return sorted(map(tuple, out.select(*names).collect()))
+
+
+def test_trees_as_expressions_score_like_the_models(spark, monkeypatch):
+    pairs = ml.settled_pairs(jobs.training_pairs(wear_history(spark, 40), None, CFG))
+    model = ml.fit_trajectory(pairs, CFG, TreeParams(rounds=7, depth=4, forest_trees=6))
+    rows = pairs.where("d0 < '2005-01-01'").withColumns({
+        "owner": F.when(F.col("r0") > 7, "new").when(F.col("r0") > 5, F.col("owner")),
+        "adt": F.when(F.col("horizon") > 5, F.col("adt"))})
+    a, b = scored_by(model, rows, "_by_expressions"), scored_by(model, rows, "_by_models")
+    assert len(a) == rows.count() > 100 and len({r[3:] for r in a}) > 20
+    for left, right in zip(a, b, strict=True):
+        assert left[:3] == right[:3] and left[3:] == pytest.approx(right[3:], abs=1e-9)
+    assert model.is_small(True) and "UDF(features" not in model.predict(rows, 0.25, True)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(ml.trees, "MAX_NODES", 0)
+    assert not model.is_small(False)
+    large = sorted(map(tuple, model.predict(rows, 0.25).select("likely", "conservative", "risk_pct").collect()))
+    monkeypatch.undo()
+    small = sorted(map(tuple, model.predict(rows, 0.25).select("likely", "conservative", "risk_pct").collect()))
+    assert len(large) == len(small) and all(x == pytest.approx(y, abs=1e-9) for x, y in zip(large, small))
+    odd = rows.withColumn("adt", F.lit(float("nan")))
+    for how in ("_by_expressions", "_by_models"):
+        with pytest.raises(Exception, match="NaN"):
+            scored_by(model, odd, how)
+
+
+def test_large_sums_of_trees_compile_in_pieces(spark):
+    """One method of the whole projection would pass the 64 KB that the JVM takes."""
+    wide = [f"x{i}" for i in range(40)]
+    rows = spark.range(50).select(*[(F.col("id") * (i + 1) % 17).cast("int").alias(n) for i, n in enumerate(wide)])
+    table = [[[float(k + t + n) for k in range(2)] for n in range(17)] for t in range(400)]
+    names = [wide[t % 40] for t in range(400)]
+    sums = [trees.sum_of_leaves(table, names, k) for k in range(2)]
+    out = rows.selectExpr(*[f"{trees.in_pieces(s)} AS s{k}" for k, s in enumerate(sums)])
+    assert out._jdf.queryExecution().executedPlan().toString().startswith("Project")  # not *(1) Project
+    want = [tuple(float(sum(k + t + (i * (t % 40 + 1)) % 17 for t in range(400))) for k in range(2)) for i in range(50)]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_wide_pairs_read_long_are_the_pairs(spark):
+    data = wear_history(spark, 20).withColumns({
+        "culvert": F.when(F.col("year_built") > 1960, F.lit(6.0)), "superstructure": F.lit(None).cast("double")})
+    cfg = PanelConfig()
+    rows = jobs.enriched_events(data, None, cfg)
+    want = jobs.pairs_with_inputs(rows, cfg)
+    got = jobs.stored_pairs(rows, cfg, SMALL)
+    assert got.drop("_side").columns == want.columns
+    assert got.count() == want.count() > 0 and want.exceptAll(got.drop("_side")).count() == 0
+    side = {tuple(r) for r in got.select("asset_id", "_side").distinct().collect()}
+    share = SMALL.calibration_share
+    assert side == {tuple(r) for r in got.select("asset_id", side_of(cfg, share)).distinct().collect()}
+    one = got.where("component = 'deck' AND _side = 'learn'")
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "r0__culvert" not in one._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    models, again = (ml.fit_all_trajectories(p, cfg, SMALL) for p in (got, want))
+    assert set(models) == set(again) == {"deck", "culvert"}
+
+
+def test_settled_folders_hold_all_rows(spark):
+    df = spark.range(300).select((F.col("id") % 3).cast("string").alias("g"), "id", F.lit(None).cast("string").alias("none"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    out = settle(df, "folders", by=["g"])
+    assert out.columns == df.columns and out.exceptAll(df).count() == 0 and out.count() == 300
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_held_out_pairs_are_scored_once_and_only_if_asked_for(spark, monkeypatch):
+    source, calls, names = "/root/testdata/sf0.001/.", [], []
+    predict, write = ml.predict_by_component, model_queries.settle
+    monkeypatch.setattr(ml, "predict_by_component", lambda *a, **k: calls.append(1) or predict(*a, **k))
+    monkeypatch.setattr(model_queries, "settle", lambda df, name, **k: names.append(name) or write(df, name, **k))
+    assert model_queries.feature_importance(spark, source).count() > 0
+    assert names == [] and len(calls) == 1  # the calibrating pairs
+    assert model_queries.model_risk(spark, source).count() > 0
+    assert model_queries.model_point_by_horizon(spark, source).count() > 0
+    assert names == ["scored"] and len(calls) == 2
