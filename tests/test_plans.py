@@ -323,6 +323,9 @@ def test_trees_as_expressions_score_like_the_models(spark, monkeypatch):
     for left, right in zip(a, b, strict=True):
         assert left[:3] == right[:3] and left[3:] == pytest.approx(right[3:], abs=1e-9)
     assert model.is_small(True) and "UDF(features" not in model.predict(rows, 0.25, True)._jdf.queryExecution().optimizedPlan().toString()
+    listed = model.predict(rows, 0.25).where("conservative <= 5")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in listed.splitlines() if "Filter" in line]
+    assert filters and not any("__f" in line or "get(" in line for line in filters)  # no trees in a filter
     monkeypatch.setattr(ml.trees, "MAX_NODES", 0)
     assert not model.is_small(False)
     large = sorted(map(tuple, model.predict(rows, 0.25).select("likely", "conservative", "risk_pct").collect()))
